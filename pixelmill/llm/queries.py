@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelmill.llm import bpe_fst, chat_format, packing, quality_rules, simhash, substring_dedup, url_model
+from pixelmill.llm import bpe_fst, chat_format, lang_id, packing, quality_rules, simhash, substring_dedup, topk_search, toxicity, url_model
 from pixelmill.llm.common import table
 
 
@@ -19,6 +19,11 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_model.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk_search.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = "<|im_end|><|im_start|>assistant ok"
     added = spark.range(1).select(
@@ -50,7 +55,20 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_fst.decode_documents(encoded, path, public_tokenizers.PATTERN, digest=True)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = lang_id.predict(docs.select("doc_id", "text"), lang_id.fit(docs), score_out="score")
+    return found.select("doc_id", lang_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    found = toxicity.predict(docs, chain)
+    return found.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= chain.thresholds[-1]).alias("toxic"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_url_filter, op4_chat_format, op5_substring_dedup, op6_mixture_packing, op7_simhash, op8_byte_bpe)
+    for f in (op1_quality_rules, op2_url_filter, op3_topk_search, op4_chat_format, op5_substring_dedup, op6_mixture_packing, op7_simhash, op8_byte_bpe, op9_language_id, op10_toxicity)
 }
