@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from pixelmill.llm.pieces import PieceMemo
 
-STATES = 400_000
-MEMORY = 800_000
+STATES = 250_000
+MEMORY = 400_000
 END = 256
 BATCH = 128
 DOUBLE = re.compile(r"\s |\A ")
@@ -228,17 +228,19 @@ class Transducer:
         return ids, np.bincount(who, weights=n, minlength=len(pieces)).astype(np.int64)
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+
 class Encoder(PieceMemo):
     """ids of whole texts: a pattern splits them into pieces, the transducer encodes each."""
 
     def __init__(self, path: str, pattern: str):
         import regex
 
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.split = regex.compile(pattern).findall
-        self.transducer = Transducer(ranks)
-        self.decoder = Decoder(ranks)
+        self.transducer = Transducer(read_ranks(path))
         super().__init__(MEMORY, np.uint32)
 
     def resolve(self, pieces: list) -> tuple[np.ndarray, np.ndarray]:
@@ -342,6 +344,12 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    """One per Python worker; a task that decodes needs no transducer."""
+    return Decoder(read_ranks(path))
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids): ids as little-endian unsigned 32-bit numbers."""
 
@@ -357,11 +365,11 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     return rows.mapInPandas(run, "id long, n_tokens long, ids binary").withColumnRenamed("id", id_col)
 
 
-def decode_documents(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", chunk: int = 8192, digest: bool = False) -> DataFrame:
+def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id", chunk: int = 8192, digest: bool = False) -> DataFrame:
     """Encoded rows with ``decoded`` (the bytes), or with their SHA-256 alone, and that of the ids."""
 
     def run(batches):
-        dec = encoder(path, pattern).decoder
+        dec = decoder(path)
         for b in batches:
             out = []
             for data in b["ids"]:
