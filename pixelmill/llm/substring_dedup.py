@@ -7,7 +7,7 @@ and compared within their shard alone; each shard's run segments are indexed by
 segments are streamed through it by backward search.
 
 1. One pass over the documents yields a row per run: place, minimizer, content hash (about one per 15 words).
-2. Runs of equal content become one segment with a weight; minimizers that occur once drop out.
+2. Minimizers that occur once drop out; runs of equal content become one segment with a weight.
 3. The texts of the remaining distinct segments are fetched by one join with the documents and indexed.
 4. Repeated stretches go back to all runs of that content and from there to their documents.
 
@@ -154,9 +154,12 @@ def _search(units: DataFrame, window: int, shards: int) -> DataFrame:
 def repeated(docs: DataFrame, id_col: str, text_col: str, window: int = WINDOW, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """The keyed documents, and (k1, k2, spans): the repeated stretches [a, b) in words of each that has any."""
     keyed = _keyed(docs, id_col, text_col)
-    runs = store(find_runs(keyed, window))
+    every = store(find_runs(keyed, window))
+    # most minimizers occur once: their runs go before anything else is made of them
+    often = every.groupBy("key").agg(F.count("*").alias("total")).where("total > 1").select("key")
+    runs = store(every.join(often, "key", "left_semi"))
     segs = runs.groupBy("key", "seg").agg(F.count("*").alias("weight"), F.min(F.struct("k1", "k2", "start", "n")).alias("at"))
-    keys = segs.groupBy(F.col("key").alias("of")).agg(F.sum("weight").alias("total"), F.count("*").alias("kinds")).where("total > 1")
+    keys = segs.groupBy(F.col("key").alias("of")).agg(F.count("*").alias("kinds"))
     wanted = store(segs.join(keys, F.col("key") == F.col("of")).select("key", "seg", "weight", "at.*", (F.col("kinds") > hot).alias("hot")))
     size = wanted.agg(F.sum(F.col("n") + window), F.max("hot")).first()
     shards = max(1, -(-(size[0] or 0) // SHARD_WORDS))
