@@ -53,14 +53,8 @@ def scan_nonrecursive(spark, sf_dir):
 
 @query
 def path_component_order(spark, sf_dir):
-    # ranks by sorted distinct first components, then within them: no single window over all rows
-    rows = views.samples(spark, sf_dir).select("sample_id", F.split("sample_id", "/")[0].alias("top"))
-    from pyspark.sql import Window
-
-    heads = rows.groupBy("top").agg(F.count("*").alias("n"))
-    before = heads.select(F.col("top").alias("t"), F.coalesce(F.sum("n").over(Window.orderBy("top").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    inside = rows.withColumn("k", F.row_number().over(Window.partitionBy("top").orderBy(paths.order_key(F.col("sample_id")))))
-    return inside.join(before, inside["top"] == before["t"]).select("sample_id", (F.col("before") + F.col("k")).cast("long").alias("position"))
+    rows = views.samples(spark, sf_dir).select("sample_id")
+    return paths.ranked(rows, paths.order_key(F.col("sample_id")), "position").select("sample_id", "position")
 
 
 # ---- column operators
