@@ -21,10 +21,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +33,10 @@ from pixelmill.llm.pieces import PieceMemo
 
 STATES = 250_000
 MEMORY = 400_000
+PAIRS = 400_000
 END = 256
 BATCH = 128
+CHUNK = 8192
 DOUBLE = re.compile(r"\s |\A ")
 
 
@@ -91,7 +94,7 @@ class Merges:
     def stay(self, a: int, b: int) -> bool:
         found = self.apart.get((a, b))
         if found is None:
-            if len(self.apart) > 2_000_000:
+            if len(self.apart) > PAIRS:
                 self.apart.clear()
             found = self.apart[a, b] = self._stay(a, b)
         return found
@@ -333,6 +336,10 @@ class Decoder:
         self.held = data[len(data) - keep :]
         return data[: len(data) - keep]
 
+    def whole_text(self, ids: np.ndarray, chunk: int) -> bytes:
+        self.reset()
+        return b"".join([self.feed(ids[k : k + chunk]) for k in range(0, len(ids), chunk)] + [self.end()])
+
     def end(self) -> bytes:
         held, self.held, self.state = self.held, b"", 0
         return held
@@ -350,37 +357,58 @@ def decoder(path: str) -> Decoder:
     return Decoder(read_ranks(path))
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in slices, so that few texts are Python objects at a time."""
+    for b in batches:
+        for lo in range(0, b.num_rows, BATCH):
+            yield b.slice(lo, BATCH)
+
+
+def _encoded(enc: Encoder, part: pa.RecordBatch) -> list[np.ndarray]:
+    return [x.astype("<u4") for x in enc.texts([x or "" for x in part.column("text").to_pylist()])]
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids): ids as little-endian unsigned 32-bit numbers."""
 
     def run(batches):
         enc = encoder(path, pattern)
-        for b in batches:
-            for lo in range(0, len(b), BATCH):
-                part = b.iloc[lo : lo + BATCH]
-                ids = enc.texts([x if isinstance(x, str) else "" for x in part["text"]])
-                yield pd.DataFrame({"id": part["id"].astype("Int64"), "n_tokens": [len(x) for x in ids], "ids": [x.astype("<u4").tobytes() for x in ids]})
+        for part in _slices(batches):
+            ids = _encoded(enc, part)
+            yield pa.record_batch([part.column("id"), pa.array(map(len, ids), pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())], ["id", "n_tokens", "ids"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "id long, n_tokens long, ids binary").withColumnRenamed("id", id_col)
+    return _rows(docs, id_col, text_col).mapInArrow(run, "id long, n_tokens long, ids binary").withColumnRenamed("id", id_col)
 
 
-def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id", chunk: int = 8192, digest: bool = False) -> DataFrame:
-    """Encoded rows with ``decoded`` (the bytes), or with their SHA-256 alone, and that of the ids."""
+def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id", chunk: int = CHUNK) -> DataFrame:
+    """Encoded rows with ``decoded``, the bytes of their tokens."""
 
     def run(batches):
         dec = decoder(path)
-        for b in batches:
-            out = []
-            for data in b["ids"]:
-                ids = np.frombuffer(data, "<u4")
-                dec.reset()
-                parts = [dec.feed(ids[k : k + chunk]) for k in range(0, len(ids), chunk)] + [dec.end()]
-                out.append(b"".join(parts))
-            if digest:
-                yield pd.DataFrame({"id": b["id"], "n_tokens": b["n_tokens"], "ids_sha256": [hashlib.sha256(x).hexdigest() for x in b["ids"]], "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in out]})
-            else:
-                yield pd.DataFrame({"id": b["id"], "n_tokens": b["n_tokens"], "ids": b["ids"], "decoded": out})
+        for part in _slices(batches):
+            out = [dec.whole_text(np.frombuffer(x, "<u4"), chunk) for x in part.column("ids").to_pylist()]
+            yield part.append_column("decoded", pa.array(out, pa.binary()))
+
+    rows = encoded.select(F.col(id_col).alias("id"), "n_tokens", "ids")
+    return rows.mapInArrow(run, "id long, n_tokens long, ids binary, decoded binary").withColumnRenamed("id", id_col)
 
-    schema = "id long, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids binary, decoded binary")
-    return encoded.withColumnRenamed(id_col, "id").mapInPandas(run, schema).withColumnRenamed("id", id_col)
+
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Encodes and decodes in one task: (id, n_tokens, ids_sha256, decoded_sha256)."""
+    digest = lambda x: hashlib.sha256(x).hexdigest()
+
+    def run(batches):
+        enc, dec = encoder(path, pattern), decoder(path)
+        for part in _slices(batches):
+            ids = _encoded(enc, part)
+            yield pa.record_batch(
+                [part.column("id"), pa.array(map(len, ids), pa.int64()), pa.array([digest(x.tobytes()) for x in ids]), pa.array([digest(dec.whole_text(x, CHUNK)) for x in ids])],
+                ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return _rows(docs, id_col, text_col).mapInArrow(run, schema).withColumnRenamed("id", id_col)

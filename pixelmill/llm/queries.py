@@ -51,8 +51,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe_fst.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe_fst.decode_documents(encoded, path, digest=True)
+    return bpe_fst.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

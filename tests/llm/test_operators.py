@@ -302,6 +302,8 @@ def test_byte_bpe(spark, docs):
         ids = enc.encode_ordinary(t or "")
         want[(i, len(ids), np.array(ids, "<u4").tobytes(), (t or "").encode())] += 1
     assert got == want
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    assert Counter(tuple(r) for r in bpe_fst.round_trip(docs, RANKS, public_tokenizers.PATTERN).collect()) == Counter({(i, n, sha(a), sha(b)): c for (i, n, a, b), c in want.items()})
     rnd = random.Random(9)
     texts = ["".join(rnd.choice("aeinrst lo'.\n  é日") for _ in range(80)) for _ in range(400)]
     own = bpe_fst.encoder(RANKS, public_tokenizers.PATTERN)
