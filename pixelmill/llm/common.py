@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pixelmill.session import checkpoint_dir, cut
+
+__all__ = ["GAP", "checkpoint_dir", "cut", "shuffle_width", "store", "table"]
+
 #: Separators of words: space and the controls tab to carriage return.
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -15,23 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; one of our own only where none is set (tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="pixelmill-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(where)
-    return where
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder and forget the lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
