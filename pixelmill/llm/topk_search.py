@@ -108,9 +108,10 @@ def search_bucket(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd
                 by[f] = (at, unit[at, f])
             at, values = by[f]
             half = np.sqrt(max(0.0, (1 - t * t) * (1 - u[f] * u[f])))
-            # a larger cosine than t allows values up to the query's own, so the interval holds it as well
-            low, high = min(u[f] * t - half, u[f]), max(u[f] * t + half, u[f])
-            near = at[np.searchsorted(values, low - 1e-9) : np.searchsorted(values, high + 1e-9, side="right")]
+            # within the angle of t around the query the axis itself may lie: then values go up to it
+            low, high = -1.0 if u[f] <= -t else u[f] * t - half, 1.0 if u[f] >= t else u[f] * t + half
+            # the root makes of a rounding error of 1e-16 one of 1e-8
+            near = at[np.searchsorted(values, low - 1e-7) : np.searchsorted(values, high + 1e-7, side="right")]
             near = near[norm[near] >= reach[row] * (1 - 1e-12)]
             if len(near):
                 take(row, near, _products(q[row : row + 1], c[near])[0])

@@ -132,6 +132,31 @@ def test_search_bucket_prunes_by_coordinate_exactly():
         assert sorted(zip(-got[got.query_id == 10_000 + row].score, got[got.query_id == 10_000 + row].vec_id)) == want
 
 
+def test_search_bucket_keeps_candidates_nearer_to_the_axis():
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    c = np.zeros((600, 32), "<i4")
+    for row in c:
+        row[rng.choice(32, 3, replace=False)] = np.floor(64 * rng.normal(0, 1, 3))
+        row[rng.integers(0, 4)] += rng.choice([-160, 160])
+    c[0], c[1] = 0, 0
+    c[0, 0], c[1, :3] = 64, (58, 20, 20)
+    frame = lambda x: pd.DataFrame({"id": np.arange(len(x)), "v": [r.tobytes() for r in x], "norm": np.sqrt((x.astype(float) ** 2).sum(1))})
+    c = c[np.abs(c).sum(1) > 0]
+    unit = np.floor(256 * c / np.sqrt((c.astype(float) ** 2).sum(1))[:, None]).astype("<i4")  # of like length: only the angle prunes
+    q = frame(unit[:60])
+    q["id"] += 10_000
+    every = unit.astype(np.int64) @ unit.astype(np.int64).T
+    for t in (0.5, 0.6, 0.8, 0.95):
+        q["theta"] = t * q["norm"] * frame(unit)["norm"].max()
+        got = topk_search.search_bucket(q, frame(unit), 600)
+        for row in range(60):
+            want = {(k, int(every[row, k])) for k in range(len(unit)) if every[row, k] >= q["theta"][row]}
+            own = got[got["query_id"] == 10_000 + row]
+            assert set(zip(own["vec_id"], own["score"])) == want
+
+
 def test_chat_round_trip(spark):
     own = "<|im_end|><|im_start|>assistant ok"
     rows = [(1, 0, "user", own), (1, 1, "assistant", own), (1, 2, "assistant", None), (1, 2, "assistant", "a\\<|im_sep|>\\l<"), (2, 5, "us\ner", "\\\\n\n"), (2, 1, None, ""), (None, 0, "assistant", "x"), (3, 0, "assistant", "y"), (3, 0, "assistant", "y")]
