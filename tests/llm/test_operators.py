@@ -313,6 +313,57 @@ def test_keep_one_catches_near_copies_and_keeps_the_rest(spark):
     assert kept == Counter([0, None, None, *range(100, 160)])
 
 
+def brute_keep_one(rows):
+    """Of each component of five-word-shingle Jaccard 0.8 or more the smallest (id, text), null ids aside."""
+    named = sorted({(i, t or "") for i, t in rows if i is not None})
+    sets = []
+    for _, t in named:
+        w = t.encode().lower().split()
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    label = list(range(len(named)))
+    for a in range(len(named)):
+        for b in range(a):
+            if sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = [new if x == old else x for x in label]
+    least = {}
+    for k, x in enumerate(label):
+        least.setdefault(x, named[k][0])
+    return Counter([*least.values(), *(None for i, _ in rows if i is None)])
+
+
+def near_pairs() -> list[tuple[int | None, str | None]]:
+    """Pairs of similarity 0.55 to 0.95, short texts, repeats, one id twice, null ids and texts."""
+    rnd = random.Random(12)
+    text = lambda n: [f"u{rnd.randrange(100_000)}" for _ in range(n)]
+    rows = []
+    for k in range(90):
+        w = text(rnd.choice([60, 120, 300]))
+        other = list(w)
+        for at in rnd.sample(range(len(w)), max(1, round(len(w) * rnd.uniform(0.005, 0.09)))):
+            other[at] = "other"
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(other))]
+    for k in range(40):  # of 1 to 12 shingles, one more in the second
+        w = text(5 + k % 12)
+        rows += [(500 + 2 * k, " ".join(w)), (501 + 2 * k, " ".join([*w, "more"]))]
+    w = text(40)
+    rows += [(700, " ".join(w)), (701, " ".join(w * 5)), (702, " ".join(w).upper()), (703, " ".join(w[:39]))]
+    rows += [(800, " ".join(text(50))), (800, " ".join(text(50))), (801, "one"), (802, "one"), (803, "two"), (804, None), (805, ""), (806, " \n"), (None, None), (None, "one")]
+    return rows
+
+
+@pytest.mark.parametrize("part", [simhash.PART, 3])
+def test_keep_one_drops_what_brute_force_drops(spark, monkeypatch, part):
+    monkeypatch.setattr(simhash, "PART", part)
+    rows = near_pairs()
+    w = [f"g{k}" for k in range(100)]
+    rows += [(900 + k, " ".join([*w[: k % 25], f"own{k}", *w[k % 25 :]])) for k in range(25)]  # one component of many pairs
+    want = brute_keep_one(rows)
+    assert 150 < sum(want.values()) < len(rows) - 60
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert Counter(r["doc_id"] for r in got.collect()) == want
+
+
 def test_byte_bpe(spark, docs):
     import base64
 
