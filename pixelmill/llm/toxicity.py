@@ -10,9 +10,9 @@ training sample alone, and six shares of the text's surface.  Models are logisti
 decision threshold is the one of the best F1 of the out-of-fold predictions.
 
 Sample: at most ``SAMPLE`` labelled rows, drawn by a hash of the id; texts are read whole, in training as in
-prediction.  Scale: the sample's rows pass through the driver as word sets, in all at most ``SAMPLE`` rows and
-``SAMPLE_WORDS`` distinct words of each; prediction is one narrow pass over whole texts with a model of a few
-thousand words.
+prediction.  Scale: words are counted over the whole sample by an aggregation; the driver gets the words that stand
+out (at most 250 a category and fold) and of each sampled row the ones of these it has.  Prediction is one narrow
+pass over whole texts, a slice of a batch at a time, with a model of a few thousand words.
 
 Defined results: a null or empty text has no features and gets the models' base rates; labels that are null are
 not learned from; without rows of both classes a category's probability is its base rate (0 without rows).
@@ -21,7 +21,6 @@ Several label rows of one document count as one row each.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -29,12 +28,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pixelmill.llm.common import cut
+
 SAMPLE = 6_000
-SAMPLE_WORDS = 300
+SLICE = 256
+WORDS = 250
+Z_LEAST = 4.0
+ROWS_LEAST = 5
 FOLDS = 5
 WORD = regex.compile(r"\p{L}+")
 CATEGORIES = ("low_quality", "toxic")
@@ -83,7 +87,7 @@ def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> tuple[np.ndarray
     return w[:-1], float(w[-1])
 
 
-def _choose(sets: list[set[str]], y: np.ndarray, most: int = 250, z_least: float = 4.0, least: int = 5) -> list[str]:
+def _choose(sets: list[set[str]], y: np.ndarray, most: int = WORDS, z_least: float = Z_LEAST, least: int = ROWS_LEAST) -> list[str]:
     """Words whose share among positive rows stands out from their share among all."""
     seen, hits = Counter(), Counter()
     for words, positive in zip(sets, y):
@@ -135,6 +139,29 @@ def _words(text: str) -> set[str]:
     return set(WORD.findall(text.lower()))
 
 
+def _standing_out(sampled: DataFrame) -> list[str]:
+    """All words that ``_choose`` would take for any category, with any fold left out or none."""
+    per = {r["fold"]: r for r in sampled.groupBy("fold").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in CATEGORIES]).collect()}
+    words = sampled.select("fold", *CATEGORIES, F.explode("words").alias("word")).groupBy("word")
+    own = lambda c, f: F.count(F.when((F.col("fold") == f) & (F.col(c) != 0 if c else F.lit(True)), 1)).alias(f"{c}{f}")
+    counts = words.agg(*[own(c, f) for c in ("", *CATEGORIES) for f in range(FOLDS)])
+    tries = []
+    for c in CATEGORIES:
+        for left_out in (None, *range(FOLDS)):
+            folds = [f for f in per if f != left_out]
+            rows = sum(per[f]["n"] for f in folds)
+            base = sum(per[f][c] for f in folds) / rows if rows else 0
+            if 0 < base < 1:
+                n, hits = (sum((F.col(f"{x}{f}") for f in folds), F.lit(0)) for x in ("", c))
+                z = (hits - n * F.lit(base)) / F.sqrt(n * F.lit(base) * F.lit(1 - base))
+                tries.append(F.struct(F.lit(len(tries)).alias("at"), F.when(n >= ROWS_LEAST, z).alias("z")))
+    if not tries:
+        return []
+    found = counts.select("word", F.explode(F.array(*tries)).alias("try")).select("word", "try.*").where(F.col("z") >= Z_LEAST - 1e-9)
+    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("at").orderBy(F.desc("z"), "word"))).where(F.col("rank") <= WORDS)
+    return [r["word"] for r in best.select("word").distinct().collect()]
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE) -> Chain:
     """A chain from the labelled documents, of which at most ``rows`` are drawn."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_quality"), F.col("toxic").alias("_toxic")).where("_quality is not null and _toxic is not null")
@@ -144,22 +171,27 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def run(batches):
         for b in batches:
-            texts = [x if isinstance(x, str) else "" for x in b["_text"]]
-            # of a long text the words of a hashed draw, so that all of its places count alike
-            words = [sorted(_words(x), key=lambda w: hash_word(w))[:SAMPLE_WORDS] for x in texts]
-            yield pd.DataFrame({"draw": b["_draw"], "low_quality": 1 - b["_quality"], "toxic": b["_toxic"], "words": words, "dense": [surface(x) for x in texts]})
+            for lo in range(0, len(b), SLICE):
+                part = b.iloc[lo : lo + SLICE]
+                texts = [x if isinstance(x, str) else "" for x in part["_text"]]
+                fold = [(d >> 7) % FOLDS for d in part["_draw"].tolist()]
+                yield pd.DataFrame({"draw": part["_draw"].to_numpy(), "fold": fold, "low_quality": 1 - part["_quality"].to_numpy(), "toxic": part["_toxic"].to_numpy(), "words": [list(_words(x)) for x in texts], "dense": [surface(x) for x in texts]})
 
-    got = joined.mapInPandas(run, "draw long, low_quality int, toxic int, words array<string>, dense array<double>").collect()
-    got.sort(key=lambda r: (r["draw"], r["words"]))
+    sampled = cut(joined.mapInPandas(run, "draw long, fold int, low_quality int, toxic int, words array<string>, dense array<double>"))
+    chosen = set(_standing_out(sampled))
+
+    def pick(batches):
+        for b in batches:
+            b["words"] = [sorted(chosen.intersection(x)) for x in b["words"]]
+            yield b
+
+    # a choice among these words is the choice among all: a word's score depends on its own counts alone
+    got = sampled.mapInPandas(pick, sampled.schema).collect()
+    got.sort(key=lambda r: (r["draw"], r["words"], r["dense"], r["low_quality"], r["toxic"]))
     sets = [set(r["words"]) for r in got]
     dense = np.array([r["dense"] for r in got]).reshape(len(got), 6)
     y = {c: np.array([r[c] for r in got], float) for c in CATEGORIES}
-    folds = np.array([(r["draw"] >> 7) % FOLDS for r in got])
-    return train(sets, dense, y, folds)
-
-
-def hash_word(word: str) -> int:
-    return zlib.crc32(word.encode())
+    return train(sets, dense, y, np.array([r["fold"] for r in got]))
 
 
 def score_texts(chain: Chain, texts: list[str | None]) -> np.ndarray:
@@ -180,7 +212,9 @@ def predict(docs: DataFrame, chain: Chain, text_col: str = "text", prefix: str =
 
     def run(batches):
         for b in batches:
-            p = score_texts(chain, b.column(text_col).to_pylist())
+            texts = b.column(text_col)
+            # the word sets of a whole batch would not be small
+            p = np.concatenate([score_texts(chain, texts[lo : lo + SLICE].to_pylist()) for lo in range(0, max(1, len(texts)), SLICE)])
             for k, n in enumerate(names):
                 b = b.append_column(n, pa.array(p[:, k], pa.float64()))
             yield b

@@ -434,6 +434,27 @@ def test_toxicity_chain(spark):
     assert toxicity.predict(odd, chain).count() == 3
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    import zlib
+
+    rnd = random.Random(6)
+    letters = "abcdefghij"
+    spell = lambda k: "".join(letters[int(c)] for c in str(k))
+    vocab = [spell(k) for k in range(1000, 3000)]
+    marker = max((spell(k) for k in range(5000, 9000)), key=lambda w: zlib.crc32(w.encode()))
+    texts = [rnd.sample(vocab, 700) + [marker] * (k % 5 == 0) for k in range(200)]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 7 > 0), int(k % 5 == 0)) for k in range(200)], "doc_id long, quality int, toxic int")
+    chain = toxicity.fit(docs, labels)
+    assert marker in chain.links[1].words
+    drawn = sorted((r["d"], r["doc_id"]) for r in labels.select("doc_id", F.xxhash64(F.lit(17), F.col("doc_id")).alias("d")).collect())
+    whole = [" ".join(texts[k]) for _, k in drawn]
+    y = {"low_quality": np.array([float(k % 7 == 0) for _, k in drawn]), "toxic": np.array([float(k % 5 == 0) for _, k in drawn])}
+    want = toxicity.train([toxicity._words(x) for x in whole], np.array([toxicity.surface(x) for x in whole]), y, np.array([(d >> 7) % toxicity.FOLDS for d, _ in drawn]))
+    assert [x.words.keys() for x in chain.links] == [x.words.keys() for x in want.links] and chain.thresholds == want.thresholds
+    assert all(np.allclose(list(a.words.values()), list(b.words.values())) and np.allclose(a.dense, b.dense) for a, b in zip(chain.links, want.links))
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
