@@ -468,3 +468,13 @@ def test_pipeline_stages(spark):
     left = [(r["doc_id"], r["text"]) for r in before.collect()]
     packed = corpus_pipeline.STAGES[-1][1](spark, before, sf)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == {i for i, _ in left}
+
+
+def test_repeated_passages_keep_rows_without_an_own_id(spark):
+    import corpus_pipeline
+
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows = [(None, "one " + passage), (None, passage + " two"), (None, "three"), (None, "three"), (None, None), (7, "seven " + passage), (7, "eight"), (8, passage)]
+    docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in rows], "doc_id long, text string, n_chars long")
+    got = Counter(tuple(r) for r in corpus_pipeline.repeated_passages(spark, docs, "").collect())
+    assert got == Counter([(None, "one", 3), (None, "two", 3), (None, "three", 5), (None, "three", 5), (None, None, 0), (7, "seven", 5), (7, "eight", 5)])
