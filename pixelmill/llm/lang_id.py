@@ -14,9 +14,13 @@ row can be learned from.  Rows with a null id are predicted and never learned fr
 
 from __future__ import annotations
 
+import unicodedata
+from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
@@ -220,7 +224,59 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return train(sample(docs, id_col, text_col, lang_col, learn))
 
 
-def keep_known(docs: DataFrame, model: Model | None, least: float = 0.3, text_col: str = "text") -> DataFrame:
-    """Documents in a language the model knows with a probability of ``least`` or more; columns as they were."""
+@lru_cache(maxsize=1 << 17)
+def _script(c: str) -> str:
+    """The script of a letter, by the first word of its Unicode name."""
+    return unicodedata.name(c, "").split(" ")[0].split("-")[0]
+
+
+def scripts(text: str | None) -> Counter:
+    """Letters of a text by script."""
+    out = Counter()
+    for c, n in Counter(text or "").items():
+        if c.isalpha():
+            out[_script(c)] += n
+    return out
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """What a document in a known language shows: at least this probability, mostly these scripts."""
+
+    least: float = 0.3
+    scripts: frozenset[str] | None = None
+
+
+def calibrate(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", missed: float = 0.001) -> Bounds:
+    """Bounds from labelled rows held out of training, a bounded sample of crops like the training's.
+
+    The probability is the one that a share of ``missed`` stays under; a script is learned if it has a hundredth of
+    the letters of a language.
+    """
+    if model is None:
+        return Bounds()
+    crops = sample(docs, id_col, text_col, lang_col, held_out(id_col) & F.col(lang_col).isin(*model.langs))
+    if not crops:
+        return Bounds()
+    least = float(np.quantile([p for _, p in label_texts(model, [x for x, _ in crops])], missed))
+    by_lang: dict[str, Counter] = {}
+    for crop, lang in crops:
+        by_lang.setdefault(lang, Counter()).update(scripts(crop))
+    return Bounds(least, frozenset(s for c in by_lang.values() for s, n in c.items() if 100 * n >= c.total()))
+
+
+def keep_known(docs: DataFrame, model: Model | None, bounds: Bounds = Bounds(), text_col: str = "text") -> DataFrame:
+    """Documents in a language the model knows, by its probability and by the scripts of most letters; columns as they were.
+
+    A network has a language for every text, with a high probability for scripts it never saw: hence the scripts.
+    """
     found = predict(docs, model, text_col, "_lang_pred", "_lang_score")
-    return found.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= least)).select(*docs.columns)
+    kept = found.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= bounds.least))
+    if bounds.scripts is not None:
+
+        def known(texts: pd.Series) -> pd.Series:
+            counts = [scripts(x) for x in texts]
+            return pd.Series([2 * sum(n for s, n in c.items() if s in bounds.scripts) >= c.total() for c in counts], dtype=bool)
+
+        kept = kept.where(F.pandas_udf(known, "boolean")(F.col(text_col)))
+    return kept.select(*docs.columns)

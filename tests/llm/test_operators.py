@@ -421,6 +421,17 @@ def test_language_held_out_accuracy(spark):
     assert lang_id.keep_known(odd, model).columns == odd.columns
 
 
+def test_language_stage_drops_unlearned_scripts(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    strange = ["Это обычный русский текст о погоде. " * 5, "今天天气很好，我们去公园散步。" * 8, "Η Ελλάδα είναι μια όμορφη χώρα. " * 5, "هذا نص عربي عادي عن الطقس والمدينة. " * 6, "यह एक सामान्य हिंदी पाठ है। " * 8]
+    new = spark.createDataFrame([(10**9 + k, t, None) for k, t in enumerate(strange)], docs.schema)
+    left = corpus_pipeline.language(spark, docs.unionByName(new), "").select("doc_id").collect()
+    assert not [r for r in left if r["doc_id"] >= 10**9]
+    assert len(left) >= 0.99 * docs.count()
+
+
 def test_toxicity_chain(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("p_toxic", F.lit("clash"))
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
