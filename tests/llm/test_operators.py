@@ -489,3 +489,39 @@ def test_repeated_passages_keep_rows_without_an_own_id(spark):
     docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in rows], "doc_id long, text string, n_chars long")
     got = Counter(tuple(r) for r in corpus_pipeline.repeated_passages(spark, docs, "").collect())
     assert got == Counter([(None, "one", 3), (None, "two", 3), (None, "three", 5), (None, "three", 5), (None, None, 0), (7, "seven", 5), (7, "eight", 5)])
+
+
+def test_pipeline_stages_3_to_5_against_brute_force(spark):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows = near_pairs() + [(950 + k, f"{' '.join(f'own{k}x{j}' for j in range(30 + k))} {passage}") for k in range(6)] + [(None, "null " + passage), (990, passage)]
+    docs = spark.createDataFrame([(i, t, len(t or ""), "ab"[k % 2]) for k, (i, t) in enumerate(rows)], "doc_id long, text string, n_chars long, source string")
+
+    def left(df):
+        return [(r["doc_id"], r["text"]) for r in df.collect()]
+
+    third = corpus_pipeline.store(corpus_pipeline.near_duplicates(spark, docs, ""))
+    after = left(third)
+    assert Counter(i for i, _ in after) == brute_keep_one(rows) and not Counter(after) - Counter(rows)
+
+    fourth = corpus_pipeline.store(corpus_pipeline.repeated_passages(spark, third, ""))
+    seen = Counter(tuple(w[k : k + 35]) for _, t in after for w in [words_of(t)] for k in range(len(w) - 34))
+    want = Counter()
+    for i, t in after:
+        w = words_of(t)
+        gone = {p for k in range(len(w) - 34) if seen[tuple(w[k : k + 35])] > 1 for p in range(k, k + 35)}
+        if not gone or len(gone) < len(w):
+            want[i, " ".join(x for p, x in enumerate(w) if p not in gone) if gone else t] += 1
+    assert Counter(left(fourth)) == want and sum(want.values()) < len(after)
+
+    tok = Tokenizer.from_file(WORDS)
+    tok.encode_special_tokens = True
+    tokens = Counter()
+    for (i, t), n in want.items():
+        tokens[i] += n * (len(tok.encode(t or "", add_special_tokens=False).ids) + 1)
+    got = Counter()
+    for r in corpus_pipeline.packed(spark, fourth, "").collect():
+        got[r["doc_id"]] += r["length"]
+    assert got == tokens
