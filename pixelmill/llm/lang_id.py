@@ -20,7 +20,6 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
@@ -33,6 +32,7 @@ CROP = 1024
 SPAN = 128
 HIDDEN = 8
 BATCH = 2048
+SLICE = 512
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -270,13 +270,19 @@ def keep_known(docs: DataFrame, model: Model | None, bounds: Bounds = Bounds(),
 
     A network has a language for every text, with a high probability for scripts it never saw: hence the scripts.
     """
-    found = predict(docs, model, text_col, "_lang_pred", "_lang_score")
-    kept = found.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= bounds.least))
-    if bounds.scripts is not None:
 
-        def known(texts: pd.Series) -> pd.Series:
-            counts = [scripts(x) for x in texts]
-            return pd.Series([2 * sum(n for s, n in c.items() if s in bounds.scripts) >= c.total() for c in counts], dtype=bool)
+    def known(text: str | None) -> bool:
+        if bounds.scripts is None:
+            return True
+        seen = scripts(text)
+        return 2 * sum(n for s, n in seen.items() if s in bounds.scripts) >= seen.total()
 
-        kept = kept.where(F.pandas_udf(known, "boolean")(F.col(text_col)))
-    return kept.select(*docs.columns)
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, SLICE):
+                part = b.slice(lo, SLICE)
+                texts = [x if isinstance(x, str) else None for x in part.column(text_col).to_pylist()]
+                found = label_texts(model, texts)
+                yield part.filter(pa.array([lang != UNKNOWN and p >= bounds.least and known(x) for x, (lang, p) in zip(texts, found)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
