@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from pixelmill.session import checkpoint_dir, cut
 
-__all__ = ["GAP", "checkpoint_dir", "cut", "shuffle_width", "store", "table"]
+__all__ = ["GAP", "checkpoint_dir", "cut", "shuffle_width", "slices", "store", "table"]
 
 #: Separators of words: space and the controls tab to carriage return.
 GAP = r"[\x20\x09-\x0D]+"
@@ -27,3 +32,28 @@ def store(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/pixelmill-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def give_back() -> None:
+    """Hand memory that is free again back to the system: Python workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: str, rows: int = 256, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of at most ``rows`` rows and about ``size`` bytes of text (one row at least).
+
+    Few texts are Python objects at a time, whatever the batch; free memory goes back at the end.
+    """
+    for b in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo, n = 0, b.num_rows
+        while lo < n:
+            before = int(sizes[lo - 1]) if lo else 0
+            hi = min(lo + rows, n, max(lo + 1, int(np.searchsorted(sizes, before + size, side="right"))))
+            yield b.slice(lo, hi - lo)
+            lo = hi
+    give_back()

@@ -7,20 +7,22 @@ class; only distinct fingerprints are compared.
 Tiles hold fingerprints of like population counts.  Two fingerprints at distance d differ by d or less in their
 population counts, so tile pairs whose counts differ beyond the radius are skipped unread; in the others every
 pair is compared by exclusive-or and bit counts in numpy blocks of bounded size.
-- Up to radius 2 a tile is the vector of counts of the four 16-bit quarters, and only tiles at L1 distance 2 or
-  less meet: 21 copies of a fingerprint at most, and work that stays near linear.
-- Beyond, tiles are ranges of the total count of at most 65,536 rows, and work grows with the square of the
-  number of distinct fingerprints, less what the counts skip.
+- Up to radius 2 a tile is the vector of counts of 4, 8 or 16 equal parts, more for more fingerprints, and only tiles
+  at L1 distance 2 or less meet: at most 21, 73 or 273 copies of a fingerprint.  A tile of more than ``TILE_ROWS``
+  rows is cut into blocks.
+- Beyond, tiles are ranges of the total count of at most 65,536 rows, in bands of set sizes where sizes bound the
+  similarity, and work grows with the square of the number of distinct fingerprints, less what counts and sizes skip.
 Of the links found in a tile pair only a spanning forest leaves the task, so a group of near copies never
 becomes all its pairs.
 
 Scale: documents are read once, in one narrow pass; shuffles carry fingerprints, tiles and forest edges.
 Components are found by alternating star contraction on the edges with checkpoints between the rounds; nothing
-is collected but a histogram of 65 (or 129) population counts.
+is collected but a histogram of population counts (by band of set sizes).
 
 Defined results: a null or empty text, or one without words, has fingerprint zero and is linked like any other;
 with fewer words than a shingle the whole sequence is the only shingle.  Equal texts share a class whatever
-their number.  Rows with a null id are returned with the component of their class, null if it has no other ids.
+their number.  Rows with a null id take part: they link others, and are returned with the component of their class if
+that has ids, else with null.  Other columns are ignored, whatever their names; an empty table gives none.
 
 ``keep_one`` takes such links as candidates alone and verifies them on the whole shingle sets before it drops a text.
 Sets are sent for members of candidate components only, in pieces of at most ``PART`` members of each side.
@@ -32,19 +34,24 @@ import itertools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pixelmill.llm.common import cut, shuffle_width
+from pixelmill.functions.graph import components
+from pixelmill.llm.common import cut, shuffle_width, slices
 
 SEED = 42
 BLOCK = (256, 2048)
 TILE_ROWS = 65_536
 MIN_TILES = 24
+#: Rows that meet in one group of narrow tiles.
+GROUP_ROWS = 100_000
 CHUNK = 50_000
 #: Most members of a candidate component that are compared in one piece.
 PART = 512
+PART_SHINGLES = 1_000_000
 
 
 def fingerprint(text: str | None, shingle: int = 3, lanes: int = 1) -> bytes:
@@ -71,14 +78,17 @@ def fingerprint(text: str | None, shingle: int = 3, lanes: int = 1) -> bytes:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, lanes: int = 1) -> DataFrame:
-    """(id, fp): fp is the fingerprint as 8 bytes a lane, most significant first."""
+    """(id, fp, key): fp is the fingerprint as 8 bytes a lane, most significant first; key a number that stands for it."""
 
     def run(batches):
-        for b in batches:
-            yield pd.DataFrame({"id": b["id"].astype("Int64"), "fp": [fingerprint(x, shingle, lanes) for x in b["text"]]})
+        for part in slices(batches, "text"):
+            found = [fingerprint(x, shingle, lanes) for x in part.column("text").to_pylist()]
+            # one lane is its own number
+            keys = [int.from_bytes(x, "big", signed=True) if lanes == 1 else xxhash.xxh64_intdigest(x) - (1 << 63) for x in found]
+            yield pa.record_batch([part.column("id"), pa.array(found, pa.binary()), pa.array(keys, pa.int64())], ["id", "fp", "key"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "id long, fp binary")
+    return rows.mapInArrow(run, "id long, fp binary, key long")
 
 
 def _words64(fp: pd.Series, lanes: int) -> np.ndarray:
@@ -86,19 +96,33 @@ def _words64(fp: pd.Series, lanes: int) -> np.ndarray:
     return np.frombuffer(b"".join(fp), np.uint64).reshape(-1, lanes)
 
 
-def _tiles(fp: np.ndarray) -> np.ndarray:
-    """Population counts of the four quarters, n x 4."""
-    return np.bitwise_count(np.ascontiguousarray(fp).view(np.uint16).reshape(-1, 4)).astype(np.int64)
+def _tiles(fp: np.ndarray, parts: int) -> np.ndarray:
+    """Population counts of the parts of 64-bit fingerprints, n x parts."""
+    bits = np.unpackbits(np.ascontiguousarray(fp).view(np.uint8).reshape(-1, 8), axis=1)
+    return bits.reshape(-1, parts, 64 // parts).sum(2, dtype=np.int64)
 
 
-def _shifts(radius: int) -> np.ndarray:
+def _shifts(radius: int, parts: int) -> np.ndarray:
     """Half of the tile shifts within the radius (first non-zero part positive), the zero shift first."""
-    every = [s for s in itertools.product(range(-radius, radius + 1), repeat=4) if sum(map(abs, s)) <= radius]
-    return np.array([(0, 0, 0, 0), *(s for s in every if next((x for x in s if x), 0) > 0)], np.int64)
 
+    def grow(n: int, left: int):
+        if n == 0:
+            yield ()
+        else:
+            for s in range(-left, left + 1):
+                for rest in grow(n - 1, left - abs(s)):
+                    yield (s, *rest)
+
+    every = grow(parts, radius)
+    return np.array([(0,) * parts, *(s for s in every if next((x for x in s if x), 0) > 0)], np.int64)
 
-def _pack(tiles: np.ndarray) -> np.ndarray:
-    return ((tiles[:, 0] * 17 + tiles[:, 1]) * 17 + tiles[:, 2]) * 17 + tiles[:, 3]
+
+def _pack(tiles: np.ndarray, parts: int) -> np.ndarray:
+    """A tile's counts as one number."""
+    out = np.zeros(len(tiles), np.int64)
+    for k in range(parts):
+        out = out * (64 // parts + 1) + tiles[:, k]
+    return out
 
 
 def _near(home: np.ndarray, other: np.ndarray, radius: int):
@@ -149,61 +173,98 @@ def _edges(ids: np.ndarray, edges: list[tuple[int, int]]) -> pd.DataFrame:
     return pd.DataFrame({"a": ids[e[:, 0]], "b": ids[e[:, 1]]})
 
 
-def _quarter_links(classes: DataFrame, radius: int) -> DataFrame:
-    """Links by tiles of quarter counts: a tile meets itself and the tiles within the radius."""
-    shifts = _shifts(radius)
+def parts_for(n: int) -> int:
+    """Into how many parts a fingerprint is cut for n distinct ones.
+
+    More parts are narrower tiles: a random pair meets with probability 1.4e-2, 2.5e-4 or 3e-7, at 21, 73 or 273
+    copies of a row.  The bounds are where the pairs saved outweigh the copies.
+    """
+    return 4 if n <= 4_000_000 else 8 if n <= 1_000_000_000 else 16
+
+
+def _part_links(classes: DataFrame, radius: int, parts: int | None = None) -> DataFrame:
+    """Links by tiles of the parts' population counts: a tile meets itself and the tiles within the radius."""
+    n = classes.count()
+    parts = parts or parts_for(n)
+    shifts = _shifts(radius, parts)
 
     def spread(batches):
         for b in batches:
-            if not len(b):
-                continue
-            tiles = _tiles(_words64(b["fp"], 1))
-            to = tiles[:, None, :] + shifts[None, :, :]
-            row, shift = np.nonzero(((to >= 0) & (to <= 16)).all(2))
-            yield pd.DataFrame({"tile": _pack(to[row, shift]), "visit": (shift > 0).astype(np.int64), "fp": b["fp"].to_numpy()[row], "id": b["id"].to_numpy()[row]})
+            for lo in range(0, len(b), 2048):
+                part = b.iloc[lo : lo + 2048]
+                to = _tiles(_words64(part["fp"], 1), parts)[:, None, :] + shifts[None, :, :]
+                row, shift = np.nonzero(((to >= 0) & (to <= 64 // parts)).all(2))
+                yield pd.DataFrame({"tile": _pack(to[row, shift], parts), "visit": shift > 0, "fp": part["fp"].to_numpy()[row], "id": part["id"].to_numpy()[row]})
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["tile", "visit"], kind="stable")
-        tile, visit, fp, ids = group["tile"].to_numpy(), group["visit"].to_numpy(), _words64(group["fp"], 1), group["id"].to_numpy()
+        group = group.sort_values(["tile", "block", "visit"], kind="stable")
+        tile, block, visit, fp, ids = group["tile"].to_numpy(), group["block"].to_numpy(), group["visit"].to_numpy(), _words64(group["fp"], 1), group["id"].to_numpy()
         out = []
-        for lo, hi in itertools.pairwise(np.flatnonzero(np.r_[True, tile[1:] != tile[:-1], True])):
-            own = int(np.searchsorted(visit[lo:hi], 1))
+        for lo, hi in itertools.pairwise(np.flatnonzero(np.r_[True, (tile[1:] != tile[:-1]) | (block[1:] != block[:-1]), True])):
+            own = int(np.searchsorted(visit[lo:hi], True))
             if own and hi - lo > 1:
                 out.append(_edges(ids[lo:hi], _forest(fp[lo : lo + own], fp[lo:hi], radius)))
         return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
 
-    sent = classes.mapInPandas(spread, "tile long, visit long, fp binary, id long")
-    # a group is the tiles of one hash slot, of which there are several per partition
-    slots = 8 * shuffle_width(classes.sparkSession)
-    return sent.groupBy(F.pmod(F.xxhash64("tile"), F.lit(slots)).alias("slot")).applyInPandas(lambda g: compare(g), "a long, b long")
-
-
-def _range_links(classes: DataFrame, radius: int, lanes: int) -> DataFrame:
-    """Links by tiles that are ranges of the population count: pairs of tiles beyond the radius are skipped."""
+    sent = classes.mapInPandas(spread, "tile long, visit boolean, fp binary, id long")
+    # a tile of too many rows of its own is cut into blocks; every visitor meets every block, every block every later one
+    full = cut(sent.where("not visit").groupBy("tile").count().where(F.col("count") > TILE_ROWS).select("tile", F.ceil(F.col("count") / TILE_ROWS).alias("blocks")))
+    if full.isEmpty():
+        dealt = sent.withColumn("block", F.lit(0).cast("long"))
+    else:
+        dealt = cut(sent.join(full, "tile", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))).withColumn("home", F.pmod(F.xxhash64(F.lit(5), "id"), "blocks"))
+        first = F.when(F.col("visit"), F.lit(0).cast("long")).otherwise(F.col("home"))
+        dealt = dealt.withColumn("block", F.explode(F.sequence(first, F.col("blocks") - 1))).withColumn("visit", F.col("visit") | (F.col("block") != F.col("home")))
+    slots = max(1, n * len(shifts) // GROUP_ROWS)
+    slot = F.pmod(F.xxhash64("tile", "block"), F.lit(slots)).alias("slot")
+    return dealt.select("tile", "block", "visit", "fp", "id").groupBy(slot).applyInPandas(lambda g: compare(g), "a long, b long")
+
+
+def _range_links(classes: DataFrame, radius: int, lanes: int, least: float | None = None) -> DataFrame:
+    """Links by tiles that are ranges of the population count: pairs of tiles beyond the radius are skipped.
+
+    With ``least``, classes have ``n``, the number of distinct shingles: sets of that Jaccard similarity differ in size
+    by that factor at most, so tiles stand in bands of sizes, and only neighbouring bands meet.
+    """
+    spark = classes.sparkSession
     count = sum(F.bit_count(F.conv(F.hex(F.substring("fp", 8 * k + 4 * h + 1, 4)), 16, 10).cast("long")) for k in range(lanes) for h in range(2))
-    counted = classes.withColumn("ones", count)
-    histogram = {r["ones"]: r["count"] for r in counted.groupBy("ones").count().collect()}  # 64 * lanes + 1 rows at most
+    band = F.floor(F.log(F.greatest(F.col("n"), F.lit(1))) / F.lit(float(np.log(1 / least) * (1 + 1e-9)))).cast("int") if least else F.lit(0)
+    counted = classes.withColumn("ones", count.cast("int")).withColumn("band", band)
+    # 64 * lanes + 1 counts, and a few dozen bands
+    histogram = {(r["band"], r["ones"]): r["count"] for r in counted.groupBy("band", "ones").count().collect()}
     total = sum(histogram.values())
-    size = max(1, min(TILE_ROWS, -(-total // MIN_TILES)))
-    # tile of a row: its place in the order by (count, hash), by which a hot count is cut into several tiles
-    before, first, last, at = {}, {}, {}, 0
-    for ones in sorted(histogram):
-        before[ones] = at
-        for tile in range(at // size, (at + histogram[ones] - 1) // size + 1):
-            first.setdefault(tile, ones)
-            last[tile] = ones
-        at += histogram[ones]
-    if not histogram:
+    if not total:
         return classes.select(F.col("id").alias("a"), F.col("id").alias("b"))
-    tiles = max(last) + 1
-    reach = [max(u for u in range(t, tiles) if first[u] - last[t] <= radius) for t in range(tiles)]
-    back = [min(t for t in range(u + 1) if reach[t] >= u) for u in range(tiles)]
-    per = F.create_map(*[F.lit(x) for o in sorted(histogram) for x in (o, f"{before[o]},{histogram[o]}")])
-    share = F.pmod(F.xxhash64("fp"), F.lit(1 << 20)) / (1 << 20)
-    start, n = F.split(per[F.col("ones")], ",")[0].cast("long"), F.split(per[F.col("ones")], ",")[1].cast("long")
-    placed = counted.withColumn("tile", F.floor((start + F.floor(share * n)) / size).cast("int"))
-    pick = lambda values: F.get(F.array(*map(F.lit, values)), F.col("tile"))
-    sent = placed.select("fp", "id", "tile", F.explode(F.sequence(pick(back), pick(reach))).alias("other"))
+    size = max(1, min(TILE_ROWS, -(-total // MIN_TILES)))
+    # tile of a row: its place in its band's order by (count, hash), by which a hot count is cut into several tiles
+    place, spans, at = {}, [], 0  # spans: (band, first count, last count) of each tile
+    for b in sorted({b for b, _ in histogram}):
+        base, at = len(spans), 0
+        for ones in sorted(o for x, o in histogram if x == b):
+            n = histogram[b, ones]
+            place[b, ones] = (base, at, n)
+            for tile in range(base + at // size, base + (at + n - 1) // size + 1):
+                if tile == len(spans):
+                    spans.append((b, ones, ones))
+                else:
+                    spans[tile] = (b, spans[tile][1], ones)
+            at += n
+    tiles: dict[int, list[int]] = {}
+    for tile, (b, _, _) in enumerate(spans):
+        tiles.setdefault(b, []).append(tile)
+
+    def met(tile: int) -> list[list[int]]:
+        """First and last tile to meet in each band that has any: counts rise with the tile, so they are a range."""
+        b, low, high = spans[tile]
+        found = [[u for u in tiles.get(x, []) if spans[u][1] - high <= radius and low - spans[u][2] <= radius] for x in (b - 1, b, b + 1)]
+        return [[x[0], x[-1]] for x in found if x]
+
+    per = F.broadcast(spark.createDataFrame([(b, o, *x) for (b, o), x in place.items()], "band int, ones int, base long, before long, share long"))
+    reach = F.broadcast(spark.createDataFrame([(k, met(k)) for k in range(len(spans))], "tile long, reach array<array<long>>"))
+    draw = F.pmod(F.xxhash64("fp"), F.lit(1 << 20)) / (1 << 20)
+    placed = counted.join(per, ["band", "ones"]).withColumn("tile", (F.col("base") + F.floor((F.col("before") + F.floor(draw * F.col("share"))) / size)).cast("long")).join(reach, "tile")
+    others = F.flatten(F.transform("reach", lambda x: F.sequence(x[0], x[1])))
+    sent = placed.select("fp", "id", "tile", F.explode(others).alias("other"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         low, high = group["lo"].iloc[0], group["hi"].iloc[0]
@@ -236,46 +297,19 @@ def _cross_forest(home: np.ndarray, other: np.ndarray, radius: int) -> list[tupl
 
 def links(classes: DataFrame, radius: int = 2, lanes: int = 1) -> DataFrame:
     """(a, b): edges between ids of distinct fingerprints (fp, id); their components are those of all links."""
-    return _quarter_links(classes, radius) if radius <= 2 and lanes == 1 else _range_links(classes, radius, lanes)
-
-
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, root): root is the smallest node of the component; alternating large and small stars.
-
-    Each star step connects every node's neighbours to the smallest of them; the number of rounds grows
-    with the logarithm of the longest chain.  Ends when a round changes nothing; raises after ``rounds``.
-    """
-    both = lambda e: e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    key = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    def star(pairs: DataFrame, large: bool) -> DataFrame:
-        low = pairs.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        joined = pairs.join(low, "a")
-        if large:
-            out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        return out.where("a != b").distinct()
-
-    edges = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = key(edges)
-    for _ in range(rounds):
-        # both steps leave edges from a node to a smaller one
-        edges = cut(star(star(both(edges), True), False))
-        now = key(edges)
-        if now == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = now
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
+    return _part_links(classes, radius) if radius <= 2 and lanes == 1 else _range_links(classes, radius, lanes)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, lanes: int = 1) -> DataFrame:
     """(id, fp, component_id) for every document."""
     fps = cut(fingerprints(docs, id_col, text_col, shingle, lanes))
-    classes = cut(fps.groupBy("fp").agg(F.min("id").alias("id")))  # the smallest id names the class
-    roots = components(links(classes.where("id is not null"), radius, lanes))
-    named = classes.join(roots, classes["id"] == roots["node"], "left").select("fp", F.coalesce("root", "id").alias("component_id"))
-    return fps.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    classes = cut(fps.groupBy("key").agg(F.first("fp").alias("fp"), F.min("id").alias("least")))
+    roots = components(links(classes.select("fp", F.col("key").alias("id")), radius, lanes))
+    named = classes.join(roots, classes["key"] == roots["node"], "left").select("key", "least", F.coalesce("root", "key").alias("root"))
+    smallest = named.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("component_id"))
+    # kept, so that a fingerprint of very many documents is split in the join
+    ids = cut(named.join(smallest, named["root"] == smallest["of"]).select("key", F.when(F.col("least").isNotNull(), F.col("component_id")).alias("component_id")))
+    return fps.join(ids, "key").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def shingle_set(text: str | None, shingle: int = 5) -> tuple[np.ndarray, bytes]:
@@ -334,15 +368,16 @@ def _verified_forest(home: np.ndarray, fp: np.ndarray, sets: list[np.ndarray], s
 
 
 def _verified_links(members: DataFrame, sets: DataFrame, radius: int, lanes: int, least: float) -> DataFrame:
-    """(a, b): forest of the verified links; members (node, root, fp) of candidate components, sets (node, hashes).
+    """(a, b): forest of the verified links; members (node, root, fp, n) of candidate components, sets (node, hashes).
 
-    A component beyond ``PART`` members is dealt over parts, of which every pair meets.
+    A component beyond ``PART`` members or ``PART_SHINGLES`` shingles is dealt over parts, of which every pair meets.
     """
-    sizes = members.groupBy("root").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    dealt = members.join(sizes, "root").join(sets, "node")
+    sizes = members.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / PART, F.sum("n") / PART_SHINGLES)).cast("int").alias("parts"))
+    dealt = members.drop("n").join(sizes, "root").join(sets, "node")
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("root", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "node", "fp", "hashes")
-    slots = max(8 * shuffle_width(members.sparkSession), -(-members.count() // PART))
+    n, shingles = members.agg(F.count("*"), F.sum("n")).first()
+    slots = max(8 * shuffle_width(members.sparkSession), -(-n // PART), -(-(shingles or 0) // PART_SHINGLES))
 
     def compare(slot: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -369,32 +404,37 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     deviation 6); a pair of four and five shingles one of 48 (6), so about 1 in 10,000 such pairs is not looked at.
     Unrelated texts (128, 8) come that close with a probability of about 1e-12, and cost a comparison only.
 
-    Rows with one id and different texts are different documents.  Documents with a null id cannot be told apart by
-    it and all stay.
+    Rows with one id and different texts are different documents; of rows equal in both, the one whose other columns
+    have the smallest hash stays.  Documents with a null id cannot be told apart by it and all stay.  Columns may have
+    any names.
     """
-    null_id, named = docs.where(F.col(id_col).isNull()), docs.where(F.col(id_col).isNotNull())
-    # a row is known by its id and the hash of its text
-    rows = named.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_hash"), F.col(text_col).alias("_text"))
+    # a row is known by its id and the hash of its text; its columns travel in a struct, out of the way of names
+    key = [F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash")]
+    every = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *key)
+    rows = docs.where(F.col(id_col).isNotNull()).select(*key, F.col(text_col).alias("text"))
+    kind = docs.schema[id_col].dataType.simpleString()
 
     def keys(batches):
-        for b in batches:
-            out = []
-            for i, h, text in zip(b["_id"], b["_hash"], b["_text"]):
-                hashes, joined = shingle_set(text, shingle)
-                out.append((i, h, xxhash.xxh64_intdigest(hashes.tobytes()) - (1 << 63), _set_fingerprint(joined, lanes)))
-            yield pd.DataFrame(out, columns=["_id", "_hash", "node", "fp"])
+        for part in slices(batches, "text"):
+            found = [(shingle_set(x, shingle)) for x in part.column("text").to_pylist()]
+            nodes = [xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63) for h, _ in found]
+            prints = [_set_fingerprint(joined, lanes) for _, joined in found]
+            yield pa.record_batch([part.column("id"), part.column("hash"), pa.array(nodes, pa.int64()), pa.array(prints, pa.binary()), pa.array([len(h) for h, _ in found], pa.int64())], ["id", "hash", "node", "fp", "n"])
 
     def sets(batches):
-        for b in batches:
-            yield pd.DataFrame({"node": b["node"], "hashes": [shingle_set(x, shingle)[0].tobytes() for x in b["_text"]]})
-
-    kind = named.schema[id_col].dataType.simpleString()
-    found = cut(rows.mapInPandas(keys, f"_id {kind}, _hash long, node long, fp binary"))
-    classes = cut(found.groupBy("node").agg(F.first("fp").alias("fp"), F.min(F.struct("_id", "_hash")).alias("row")))
-    near = components(_range_links(classes.select("fp", F.col("node").alias("id")), radius, lanes))
-    members = cut(near.unionByName(near.select(F.col("root").alias("node"), "root")).distinct().join(classes, "node").select("node", "root", "fp", "row.*"))
-    texts = rows.join(members.select("node", "_id", "_hash"), ["_id", "_hash"]).dropDuplicates(["_id", "_hash"]).select("node", "_text")
-    links = _verified_links(members.select("node", "root", "fp"), texts.mapInPandas(sets, "node long, hashes binary"), radius, lanes, least)
-    chosen = classes.join(components(links), "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("row").alias("row")).select("row.*")
-    kept = named.withColumn("_hash", F.xxhash64(F.col(text_col))).join(chosen.withColumnRenamed("_id", id_col), [id_col, "_hash"], "left_semi")
-    return kept.dropDuplicates([id_col, "_hash"]).select(*docs.columns).unionByName(null_id)
+        for part in slices(batches, "text"):
+            yield pa.record_batch([part.column("node"), pa.array([shingle_set(x, shingle)[0].tobytes() for x in part.column("text").to_pylist()], pa.binary())], ["node", "hashes"])
+
+    found = cut(rows.mapInArrow(keys, f"id {kind}, hash long, node long, fp binary, n long"))
+    classes = cut(found.groupBy("node").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.min(F.struct("id", "hash")).alias("row")))
+    near = components(_range_links(classes.select("fp", "n", F.col("node").alias("id")), radius, lanes, least))
+    members = cut(near.join(classes, "node").select("node", "root", "fp", "n", "row.*"))
+    # copies of a member's row give its set once a task at most; one each is kept
+    texts = rows.join(members.select("node", "id", "hash"), ["id", "hash"]).dropDuplicates(["id", "hash"]).select("node", "text")
+    links = _verified_links(members.select("node", "root", "fp", "n"), texts.mapInArrow(sets, "node long, hashes binary"), radius, lanes, least)
+    chosen = cut(classes.join(components(links), "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("row").alias("row")).select("row.*"))
+    others = [F.col(f"doc.`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+    tie = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+    first = every.where("id is not null").withColumn("rank", F.row_number().over(Window.partitionBy("id", "hash").orderBy(tie))).where("rank = 1")
+    kept = first.join(chosen, ["id", "hash"], "left_semi").select("doc")
+    return kept.unionByName(every.where("id is null").select("doc")).select("doc.*")
