@@ -2,14 +2,19 @@
 
 The network reads windows of bytes in both directions, labels every position, and a document's probabilities
 are the mean of those of all its positions.  It is trained in numpy by backpropagation through time on a bounded
-sample of labelled texts: at most ``SAMPLE`` texts a language and ``SAMPLE_ROWS`` in all, one crop of ``CROP``
-characters at a hashed place of each.  Prediction reads whole texts, cut into windows that run side by side.
+sample of labelled rows: at most ``SAMPLE`` a language and ``SAMPLE_ROWS`` in all, those of the lowest hashes of id and
+text.  The spans of an update lie anywhere in their whole texts; each row gives ``SPANS`` of them, drawn where the row
+is.  Prediction reads whole texts, cut into windows that run side by side; a window that ends with its text is as
+long as what is left, so no network ever reads padding, in training as in prediction.
 
-Scale: one pass to draw the sample (ranked per language with the rank limit pushed before the shuffle), one
-narrow pass to predict; the model has about 13,000 numbers and travels with the task.
+Scale: one pass ranks hashes per language (the rank limit is pushed before the shuffle, which carries no text), one
+fetches the sampled rows by a broadcast of at most ``SAMPLE_ROWS`` hashes, one narrow pass predicts; the model has
+about 13,000 numbers and travels with the task.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so is every text if no labelled
-row can be learned from.  Rows with a null id are predicted and never learned from.
+row can be learned from (an empty table among them).  Rows with a null id are predicted and never learned from; rows
+equal in id, text and language are one row of the sample.  ``predict`` puts its two columns in the place of any
+columns of the same names; all others pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,13 +31,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pixelmill.llm.common import slices
+
 SAMPLE = 300
 SAMPLE_ROWS = 20_000
-CROP = 1024
+SPANS = 24
 SPAN = 128
 HIDDEN = 8
 BATCH = 2048
-SLICE = 512
+#: Bytes of the spans of one update after the other: short ones for the texts of a few words.
+TRAIN_SPANS = (48, 12, 48, 6, 48, 24)
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -48,8 +56,11 @@ class Model:
     bias: np.ndarray
 
 
-def _forward(m: Model, x: np.ndarray, keep: bool = False):
-    """States of both directions at every position (T, 2, B, H); keep: also what backpropagation needs."""
+def _forward(m: Model, x: np.ndarray, keep: bool = False, inside: np.ndarray | None = None):
+    """States of both directions at every position (T, 2, B, H); keep: also what backpropagation needs.
+
+    inside (T, B): where a window's own bytes are; behind them the backward state stays zero.
+    """
     steps, width = x.shape
     h = np.zeros((2, width, HIDDEN), np.float32)
     states, cache = np.empty((steps, 2, width, HIDDEN), np.float32), []
@@ -70,6 +81,8 @@ def _forward(m: Model, x: np.ndarray, keep: bool = False):
         if keep:
             cache.append((h, z, s, rc, c))
         h = h + z * (c - h)
+        if inside is not None:
+            h[1] *= inside[steps - 1 - t, :, None]
         states[t, 0] = h[0]
         states[steps - 1 - t, 1] = h[1]
     return (states, cache) if keep else states
@@ -112,13 +125,14 @@ def _gradients(m: Model, x: np.ndarray, y: np.ndarray) -> tuple[dict[str, np.nda
     return grad, loss
 
 
-def train(crops: list[tuple[str, str]], updates: int = 220, width: int = 96, span: int = 48, rate: float = 0.02, seed: int = 7) -> Model | None:
-    """A model from (text, language) crops; every update draws languages alike."""
+def train(spans: list[tuple[bytes, str]], updates: int = 240, width: int = 96, rate: float = 0.02, seed: int = 7) -> Model | None:
+    """A model from (bytes, language); every update draws languages alike and reads spans of one length."""
     by: dict[str, list[np.ndarray]] = {}
-    for text, lang in sorted(crops):
-        data = np.frombuffer(text.encode(), np.uint8)
+    for data, lang in sorted(spans):
         if len(data):
-            by.setdefault(lang, []).append(data)
+            by.setdefault(lang, []).append(np.frombuffer(data, np.uint8))
+    for own in by.values():
+        own.sort(key=len)
     langs = tuple(sorted(by))
     if not langs:
         return None
@@ -129,12 +143,16 @@ def train(crops: list[tuple[str, str]], updates: int = 220, width: int = 96, spa
         return m
     first = {k: np.zeros_like(getattr(m, k)) for k in ("emb", "rec", "out", "bias")}
     second = {k: np.zeros_like(v) for k, v in first.items()}
+    sizes = [np.array([len(x) for x in by[lang]]) for lang in langs]
     for step in range(1, updates + 1):
         y = rng.integers(len(langs), size=width)
+        span = int(min(TRAIN_SPANS[step % len(TRAIN_SPANS)], *(x[-1] for x in sizes)))
+        from_ = [int(np.searchsorted(x, span)) for x in sizes]  # the first that is long enough
         x = np.empty((span, width), np.uint8)
         for k, lang in enumerate(y):
-            data = by[langs[lang]][rng.integers(len(by[langs[lang]]))]
-            x[:, k] = np.resize(data[rng.integers(max(1, len(data) - span)) :], span)
+            data = by[langs[lang]][rng.integers(from_[lang], len(sizes[lang]))]
+            at = rng.integers(len(data) - span + 1)
+            x[:, k] = data[at : at + span]
         grad, _ = _gradients(m, x, y)
         size = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
         pace = rate * min(1.0, 2 * (1 - step / (updates + 1)))
@@ -146,38 +164,59 @@ def train(crops: list[tuple[str, str]], updates: int = 220, width: int = 96, spa
     return m
 
 
-def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Column, per_lang: int = SAMPLE, rows: int = SAMPLE_ROWS) -> list[tuple[str, str]]:
-    """The bounded training sample: (crop, language)."""
-    at = F.pmod(F.xxhash64(F.lit(5), F.col(id_col)), F.greatest(F.char_length(text_col) - CROP, F.lit(0)) + 1)
-    drawn = (
-        docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-        .select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.lit(11), F.col(id_col)).alias("draw"), F.substring(F.col(text_col), (at + 1).cast("int"), F.lit(CROP)).alias("crop"))
-        .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "crop")))
-        .where(F.col("rank") <= per_lang)
-        .limit(rows)
+def sampled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Column, per_lang: int = SAMPLE, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(text, lang, draw): the bounded sample of labelled rows, whole texts."""
+    drawn = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
+        F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.lit(11), F.col(id_col), F.col(text_col)).alias("draw"), F.col(text_col).alias("text")
     )
-    return [(r["crop"], r["lang"]) for r in drawn.collect()]
+    ranked = drawn.select("lang", "draw").distinct().withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("draw")))
+    # all languages' first rows come before any second ones
+    chosen = ranked.where(F.col("rank") <= per_lang).orderBy("rank", "draw", "lang").limit(rows).select("lang", "draw")
+    return drawn.join(F.broadcast(chosen), ["lang", "draw"]).dropDuplicates(["lang", "draw"]).select("text", "lang", "draw")
+
+
+def spans_of(text: str, draw: int, n: int = SPANS, size: int = max(TRAIN_SPANS)) -> list[bytes]:
+    """Spans at places drawn over the whole text; the text itself if it is no longer than one."""
+    data = text.encode()
+    if len(data) <= size:
+        return [data]
+    places = np.random.default_rng(draw & (1 << 63) - 1).integers(len(data) - size + 1, size=n)
+    return [data[at : at + size] for at in places.tolist()]
+
+
+def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn: Column, per_lang: int = SAMPLE, rows: int = SAMPLE_ROWS) -> list[tuple[bytes, str]]:
+    """(span, language): the spans to train on, at most ``SPANS`` a sampled row."""
+
+    def run(batches):
+        for part in slices(batches, "text"):
+            found = [(x, lang) for text, lang, draw in zip(*(part.column(k).to_pylist() for k in range(3))) for x in spans_of(text, draw)]
+            yield pa.record_batch([pa.array([x for x, _ in found], pa.binary()), pa.array([x for _, x in found], pa.string())], ["span", "lang"])
+
+    got = sampled(docs, id_col, text_col, lang_col, learn, per_lang, rows).mapInArrow(run, "span binary, lang string").collect()
+    return [(bytes(r["span"]), r["lang"]) for r in got]
 
 
 def _document_probabilities(m: Model, texts: list[bytes]) -> np.ndarray:
     """Mean position probabilities of every (non-empty) text, over all its bytes."""
     sums = np.zeros((len(texts), len(m.langs)))
+    flat = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(x) for x in texts])
     pieces = -(-sizes // SPAN)
     owner = np.repeat(np.arange(len(texts)), pieces)
-    data = np.zeros((len(owner), SPAN), np.uint8)
-    inside = np.zeros((len(owner), SPAN), bool)
-    row = 0
-    for x, n in zip(texts, pieces.tolist()):
-        flat = np.frombuffer(x, np.uint8)
-        data[row : row + n].reshape(-1)[: len(flat)] = flat
-        inside[row : row + n].reshape(-1)[: len(flat)] = True
-        row += n
-    for lo in range(0, len(owner), BATCH):
-        x = np.ascontiguousarray(data[lo : lo + BATCH].T)
-        p = _positions(m, _forward(m, x))
-        p *= inside[lo : lo + BATCH].T[:, :, None]
-        np.add.at(sums, owner[lo : lo + BATCH], p.sum(0))
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    start = (np.cumsum(sizes) - sizes)[owner] + nth * SPAN
+    length = np.minimum(SPAN, sizes[owner] - nth * SPAN)
+    order = np.argsort(-length, kind="stable")  # windows of like length run side by side
+    for lo in range(0, len(order), BATCH):
+        at = order[lo : lo + BATCH]
+        step = np.arange(length[at[0]])[:, None]
+        inside = step < length[at]
+        x = flat[np.where(inside, start[at] + step, 0)]
+        whole = bool(inside.all())
+        p = _positions(m, _forward(m, x, inside=None if whole else inside))
+        if not whole:
+            p *= inside[:, :, None]
+        np.add.at(sums, owner[at], p.sum(0))
     return sums / np.maximum(sizes, 1)[:, None]
 
 
@@ -202,13 +241,13 @@ def label_texts(m: Model | None, texts: list[str | None]) -> list[tuple[str, flo
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "lang_score") -> DataFrame:
-    """All columns of docs (but those of the output's names), the predicted language and its score."""
+    """All columns of docs (but those of the output's names, which give way), the predicted language and its score."""
     base = docs.drop(lang_out, score_out)
     schema = T.StructType([*base.schema.fields, T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())])
 
     def run(batches):
-        for b in batches:
-            found = label_texts(model, [x if isinstance(x, str) else None for x in b.column(text_col).to_pylist()])
+        for b in slices(batches, text_col):
+            found = label_texts(model, b.column(text_col).to_pylist())
             yield b.append_column(lang_out, pa.array([x for x, _ in found], pa.string())).append_column(score_out, pa.array([s for _, s in found], pa.float64()))
 
     return base.mapInArrow(run, schema)
@@ -248,20 +287,31 @@ class Bounds:
 
 
 def calibrate(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", missed: float = 0.001) -> Bounds:
-    """Bounds from labelled rows held out of training, a bounded sample of crops like the training's.
+    """Bounds from labelled rows held out of training, a bounded sample like the training's; whole texts are read.
 
     The probability is the one that a share of ``missed`` stays under; a script is learned if it has a hundredth of
     the letters of a language.
     """
     if model is None:
         return Bounds()
-    crops = sample(docs, id_col, text_col, lang_col, held_out(id_col) & F.col(lang_col).isin(*model.langs))
-    if not crops:
+    rows = sampled(docs, id_col, text_col, lang_col, held_out(id_col) & F.col(lang_col).isin(*model.langs)).select("text", "lang")
+
+    def run(batches):
+        for part in slices(batches, "text"):
+            texts = part.column("text").to_pylist()
+            seen = [list(scripts(x).items()) for x in texts]
+            yield pa.record_batch(
+                [part.column("lang"), pa.array([p for _, p in label_texts(model, texts)]), pa.array([[s for s, _ in x] for x in seen], pa.list_(pa.string())), pa.array([[n for _, n in x] for x in seen], pa.list_(pa.int64()))],
+                ["lang", "p", "scripts", "letters"],
+            )
+
+    found = rows.mapInArrow(run, "lang string, p double, scripts array<string>, letters array<long>").collect()
+    if not found:
         return Bounds()
-    least = float(np.quantile([p for _, p in label_texts(model, [x for x, _ in crops])], missed))
+    least = float(np.quantile([r["p"] for r in found], missed))
     by_lang: dict[str, Counter] = {}
-    for crop, lang in crops:
-        by_lang.setdefault(lang, Counter()).update(scripts(crop))
+    for r in found:
+        by_lang.setdefault(r["lang"], Counter()).update(dict(zip(r["scripts"], r["letters"])))
     return Bounds(least, frozenset(s for c in by_lang.values() for s, n in c.items() if 100 * n >= c.total()))
 
 
@@ -278,11 +328,9 @@ def keep_known(docs: DataFrame, model: Model | None, bounds: Bounds = Bounds(),
         return 2 * sum(n for s, n in seen.items() if s in bounds.scripts) >= seen.total()
 
     def run(batches):
-        for b in batches:
-            for lo in range(0, b.num_rows, SLICE):
-                part = b.slice(lo, SLICE)
-                texts = [x if isinstance(x, str) else None for x in part.column(text_col).to_pylist()]
-                found = label_texts(model, texts)
-                yield part.filter(pa.array([lang != UNKNOWN and p >= bounds.least and known(x) for x, (lang, p) in zip(texts, found)], pa.bool_()))
+        for part in slices(batches, text_col):
+            texts = part.column(text_col).to_pylist()
+            found = label_texts(model, texts)
+            yield part.filter(pa.array([lang != UNKNOWN and p >= bounds.least and known(x) for x, (lang, p) in zip(texts, found)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
