@@ -9,33 +9,33 @@ Features: presence of words whose share among a category's positive rows stands
 training sample alone, and six shares of the text's surface.  Models are logistic regressions in numpy.  The
 decision threshold is the one of the best F1 of the out-of-fold predictions.
 
-Sample: at most ``SAMPLE`` labelled rows, drawn by a hash of the id; texts are read whole, in training as in
+Sample: at most ``SAMPLE`` pairs of a label row and a document, drawn by a hash of the id; texts are read whole, in training as in
 prediction.  Scale: words are counted over the whole sample by an aggregation; the driver gets the words that stand
 out (at most 250 a category and fold) and of each sampled row the ones of these it has.  Prediction is one narrow
 pass over whole texts, a slice of a batch at a time, with a model of a few thousand words.
 
 Defined results: a null or empty text has no features and gets the models' base rates; labels that are null are
 not learned from; without rows of both classes a category's probability is its base rate (0 without rows).
-Several label rows of one document count as one row each.
+Several label rows of one document, or documents of one id, count as one row each.  ``predict`` puts its columns in
+the place of any of the same names; ``keep_clean`` adds none.  Empty tables give a chain that calls nothing toxic.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pixelmill.llm.common import cut
+from pixelmill.llm.common import cut, slices
 
 SAMPLE = 6_000
-SLICE = 256
 WORDS = 250
 Z_LEAST = 4.0
 ROWS_LEAST = 5
@@ -166,18 +166,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """A chain from the labelled documents, of which at most ``rows`` are drawn."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_quality"), F.col("toxic").alias("_toxic")).where("_quality is not null and _toxic is not null")
     draw = F.xxhash64(F.lit(17), F.col("_id"))
+    # so many label rows of the lowest hashes suffice; their documents may be more, of which again so many are kept
     known = known.withColumn("_draw", draw).orderBy("_draw", "_id", "_quality", "_toxic").limit(rows)
     joined = docs.select(F.col(id_col).alias("_id2"), F.col(text_col).alias("_text")).join(F.broadcast(known), F.col("_id") == F.col("_id2"))
 
     def run(batches):
-        for b in batches:
-            for lo in range(0, len(b), SLICE):
-                part = b.iloc[lo : lo + SLICE]
-                texts = [x if isinstance(x, str) else "" for x in part["_text"]]
-                fold = [(d >> 7) % FOLDS for d in part["_draw"].tolist()]
-                yield pd.DataFrame({"draw": part["_draw"].to_numpy(), "fold": fold, "low_quality": 1 - part["_quality"].to_numpy(), "toxic": part["_toxic"].to_numpy(), "words": [list(_words(x)) for x in texts], "dense": [surface(x) for x in texts]})
-
-    sampled = cut(joined.mapInPandas(run, "draw long, fold int, low_quality int, toxic int, words array<string>, dense array<double>"))
+        for part in slices(batches, "_text"):
+            texts = [x or "" for x in part.column("_text").to_pylist()]
+            draw, quality, toxic = (part.column(c).to_pylist() for c in ("_draw", "_quality", "_toxic"))
+            yield pa.record_batch(
+                [
+                    pa.array(draw, pa.int64()), pa.array([(d >> 7) % FOLDS for d in draw], pa.int32()), pa.array([1 - q for q in quality], pa.int32()), pa.array(toxic, pa.int32()),
+                    pa.array([sorted(_words(x)) for x in texts], pa.list_(pa.string())), pa.array([surface(x) for x in texts], pa.list_(pa.float64())), pa.array([zlib.crc32(x.encode()) for x in texts], pa.int64()),
+                ],
+                ["draw", "fold", "low_quality", "toxic", "words", "dense", "tie"],
+            )
+
+    made = joined.mapInArrow(run, "draw long, fold int, low_quality int, toxic int, words array<string>, dense array<double>, tie long")
+    sampled = cut(made.orderBy("draw", "low_quality", "toxic", "tie").limit(rows).drop("tie"))
     chosen = set(_standing_out(sampled))
 
     def pick(batches):
@@ -211,10 +217,8 @@ def predict(docs: DataFrame, chain: Chain, text_col: str = "text", prefix: str =
     schema = T.StructType([*base.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
 
     def run(batches):
-        for b in batches:
-            texts = b.column(text_col)
-            # the word sets of a whole batch would not be small
-            p = np.concatenate([score_texts(chain, texts[lo : lo + SLICE].to_pylist()) for lo in range(0, max(1, len(texts)), SLICE)])
+        for b in slices(batches, text_col):
+            p = score_texts(chain, b.column(text_col).to_pylist())
             for k, n in enumerate(names):
                 b = b.append_column(n, pa.array(p[:, k], pa.float64()))
             yield b
@@ -224,5 +228,10 @@ def predict(docs: DataFrame, chain: Chain, text_col: str = "text", prefix: str =
 
 def keep_clean(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
     """Documents under the threshold of the chain's last category (toxic); columns as they were."""
-    found = predict(docs, chain, text_col, "_p_")
-    return found.where(F.col("_p_" + chain.categories[-1]) < chain.thresholds[-1]).select(*docs.columns)
+
+    def run(batches):
+        for b in slices(batches, text_col):
+            p = score_texts(chain, b.column(text_col).to_pylist())
+            yield b.filter(pa.array(p[:, -1] < chain.thresholds[-1], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
