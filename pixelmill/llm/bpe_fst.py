@@ -11,17 +11,18 @@ Decoding is streamed: ids come in chunks, and an incremental UTF-8 state machine
 unfinished character.  It runs byte by byte only over tokens that do not consist of whole characters.
 
 Scale: one narrow pass over documents, no shuffle; tables per Python worker are bounded (vocabulary, memo of
-pieces, states), and so is the batch of texts.
+pieces in number and length, states), and so is the batch of texts.
 
-Defined results: a null or empty text has no ids and decodes to nothing; rows with equal ids are encoded each.
+Defined results: a null or empty text has no ids and decodes to nothing; rows with equal ids are encoded each; an
+empty table gives none.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pixelmill.llm.pieces import PieceMemo
+from pixelmill.llm.common import slices
+from pixelmill.llm.pieces import Growing, PieceMemo
 
 STATES = 250_000
 MEMORY = 400_000
@@ -37,7 +39,10 @@ PAIRS = 400_000
 END = 256
 BATCH = 128
 CHUNK = 8192
-DOUBLE = re.compile(r"\s |\A ")
+#: Pieces of more bytes are read one byte after the other, shorter ones side by side.
+ALONE = 512
+DOUBLE = re.compile(r"\s |\A ").search
+SPACE = re.compile(r"(?<=\S) ").split
 
 
 class Merges:
@@ -124,7 +129,7 @@ class Transducer:
     def forget(self) -> None:
         start = ((0, -1, ()),)
         self.states, self.numbers = [start], {start: 0}
-        self.n_moves, self.out = 0, []
+        self.n_moves, self.out, self.one = 0, Growing(np.uint32), {}
         self.keys, self.moves = np.full(1 << 16, -1, np.int64), np.zeros(1 << 16, np.int32)
         self.target, self.out_at = np.zeros(1 << 15, np.int32), np.zeros((1 << 15) + 1, np.int64)
 
@@ -158,10 +163,9 @@ class Transducer:
             self.target = np.resize(self.target, size // 2)
             self.out_at = np.resize(self.out_at, size // 2 + 1)
         self._put(np.array(keys), np.arange(before, self.n_moves, dtype=np.int32))
-        for n, (target, emitted) in enumerate(made, before):
-            self.target[n] = target
-            self.out += emitted
-            self.out_at[n + 1] = len(self.out)
+        self.target[before : self.n_moves] = [target for target, _ in made]
+        self.out_at[before + 1 : self.n_moves + 1] = self.out.n + np.cumsum([len(x) for _, x in made])
+        self.out.extend(np.array([t for _, x in made for t in x], np.uint32))
 
     def _make(self, key: int) -> tuple[int, tuple[int, ...]]:
         """Target and emission of one move."""
@@ -206,6 +210,30 @@ class Transducer:
         """ids of all pieces end to end, and how many each has."""
         if len(self.states) > STATES:
             self.forget()
+        if max(map(len, pieces), default=0) <= ALONE:
+            return self._side_by_side(pieces)
+        ids, n = self._side_by_side([x if len(x) <= ALONE else b"" for x in pieces])
+        parts = np.split(ids, np.cumsum(n)[:-1])
+        for k, x in enumerate(pieces):
+            if len(x) > ALONE:
+                parts[k] = self._alone(x)
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+
+    def _alone(self, piece: bytes) -> np.ndarray:
+        """ids of one piece, byte by byte."""
+        state, out = 0, []
+        for byte in itertools.chain(piece, (END,)):
+            key = state << 9 | byte
+            move = self.one.get(key)
+            if move is None:
+                if len(self.one) > STATES:
+                    self.one.clear()
+                move = self.one[key] = self._make(key)
+            state, emitted = move
+            out += emitted
+        return np.array(out, np.uint32)
+
+    def _side_by_side(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.array([len(x) for x in pieces], np.int64)
         order = np.argsort(-sizes, kind="stable")
         starts = (np.cumsum(sizes) - sizes)[order]
@@ -226,8 +254,7 @@ class Transducer:
         who, moved = who[by_piece], moved[by_piece]
         n = self.out_at[moved + 1] - self.out_at[moved]
         ends = np.cumsum(n)
-        out = np.array(self.out, np.uint32)
-        ids = out[np.repeat(self.out_at[moved] - (ends - n), n) + np.arange(ends[-1] if len(n) else 0)]
+        ids = self.out.view()[np.repeat(self.out_at[moved] - (ends - n), n) + np.arange(ends[-1] if len(n) else 0)]
         return ids, np.bincount(who, weights=n, minlength=len(pieces)).astype(np.int64)
 
 
@@ -266,16 +293,12 @@ class Encoder(PieceMemo):
         """ids of each text.
 
         A space after a character that is no white space always starts a piece, so a text falls apart there
-        (its first part, which has no space before it, is told from the others by a tuple).  Texts with a
-        space after white space are taken whole.
+        (its first part, which has no space before it, is told from the others by a tuple).
         """
         split = []
         for x in texts:
-            if DOUBLE.search(x):
-                split.append([(x,)])
-            else:
-                first, *rest = x.split(" ")
-                split.append([(first,), *rest])
+            first, *rest = SPACE(x) if DOUBLE(x) else x.split(" ")
+            split.append([(first,), *rest])
         return self.lookup(split)
 
 
@@ -361,13 +384,6 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches in slices, so that few texts are Python objects at a time."""
-    for b in batches:
-        for lo in range(0, b.num_rows, BATCH):
-            yield b.slice(lo, BATCH)
-
-
 def _encoded(enc: Encoder, part: pa.RecordBatch) -> list[np.ndarray]:
     return [x.astype("<u4") for x in enc.texts([x or "" for x in part.column("text").to_pylist()])]
 
@@ -377,7 +393,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
     def run(batches):
         enc = encoder(path, pattern)
-        for part in _slices(batches):
+        for part in slices(batches, "text", BATCH):
             ids = _encoded(enc, part)
             yield pa.record_batch([part.column("id"), pa.array(map(len, ids), pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())], ["id", "n_tokens", "ids"])
 
@@ -389,7 +405,7 @@ def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id", chun
 
     def run(batches):
         dec = decoder(path)
-        for part in _slices(batches):
+        for part in slices(batches, "ids", BATCH):
             out = [dec.whole_text(np.frombuffer(x, "<u4"), chunk) for x in part.column("ids").to_pylist()]
             yield part.append_column("decoded", pa.array(out, pa.binary()))
 
@@ -403,7 +419,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
     def run(batches):
         enc, dec = encoder(path, pattern), decoder(path)
-        for part in _slices(batches):
+        for part in slices(batches, "text", BATCH):
             ids = _encoded(enc, part)
             yield pa.record_batch(
                 [part.column("id"), pa.array(map(len, ids), pa.int64()), pa.array([digest(x.tobytes()) for x in ids]), pa.array([digest(dec.whole_text(x, CHUNK)) for x in ids])],
