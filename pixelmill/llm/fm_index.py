@@ -1,4 +1,7 @@
-"""A compressed FM-index over sequences of symbols: wavelet matrix of packed bits, batched backward search."""
+"""A compressed FM-index over sequences of symbols: wavelet matrix of packed bits, batched backward search.
+
+Sequences may be empty or equal; an index of no sequences finds nothing.
+"""
 
 from __future__ import annotations
 
@@ -48,23 +51,26 @@ def sorted_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
 
 
 class FMIndex:
-    """Index of sequences with weights; symbols are 1 and up, 0 separates."""
-
-    def __init__(self, sequences: list[np.ndarray], weights: np.ndarray, depth: int):
-        sizes = np.array([len(x) + 1 for x in sequences])
-        self.text = np.zeros(int(sizes.sum()), np.int64)
-        starts = np.cumsum(sizes) - sizes
-        inside = np.ones(len(self.text), bool)
-        inside[starts + sizes - 1] = False
-        self.text[inside] = np.concatenate(sequences) if sequences else []
-        self.starts, self.sizes = starts, sizes - 1
-        order = sorted_suffixes(self.text, depth)
-        last = self.text[order - 1]
-        top = int(self.text.max(initial=0))
-        self.bwt = WaveletMatrix(last, max(1, top.bit_length()))
-        counts = np.bincount(self.text, minlength=top + 2)
+    """Index of sequences; symbols are 1 and up, 0 separates.
+
+    It holds the wavelet matrix of the transform (one bit a symbol and level), the symbols' first places and, for each
+    suffix, one bit: whether its sequence is heavy, that is, occurs more than once.  The text itself is not kept; what
+    is searched for is streamed past the index.
+    """
+
+    def __init__(self, sequences: list[np.ndarray], heavy: np.ndarray, depth: int):
+        sizes = np.array([len(x) + 1 for x in sequences], np.int64)
+        text = np.zeros(int(sizes.sum()), np.int64)
+        inside = np.ones(len(text), bool)
+        inside[np.cumsum(sizes) - 1] = False
+        text[inside] = np.concatenate(sequences) if sequences else []
+        order = sorted_suffixes(text, depth)
+        top = int(text.max(initial=0))
+        self.n = len(text)
+        self.bwt = WaveletMatrix(text[order - 1], max(1, top.bit_length()))
+        counts = np.bincount(text, minlength=top + 2)
         self.first = np.cumsum(counts) - counts
-        self.weight = np.concatenate([[0], np.cumsum(np.repeat(weights, sizes)[order])])
+        self.heavy = np.packbits(np.repeat(np.asarray(heavy, bool), sizes)[order], bitorder="little")
         self.base = self.bwt.place(np.arange(top + 1), np.zeros(top + 1, np.int64))
 
     def back(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,20 +78,33 @@ class FMIndex:
         shift = self.first[symbol] - self.base[symbol]
         return shift + self.bwt.place(symbol, low), shift + self.bwt.place(symbol, high)
 
-    def repeats(self, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Matching statistics of the indexed sequences themselves, streamed from their right ends.
+    def often(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether each range of suffixes stands for two occurrences or more."""
+        at = np.minimum(low, self.n - 1)
+        return (high - low >= 2) | ((high - low == 1) & (self.heavy[at >> 3] >> (at & 7) & 1).astype(bool))
+
+    def repeats(self, sequences: list[np.ndarray], least: int, batch: int = 8192) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matching statistics of sequences that are in the index, streamed through it from their right ends.
 
         Returns (sequence, start, end) of the stretches of ``least`` symbols or more, maximal to the left,
-        whose total weight of occurrences is two or more.
+        that occur twice or more.
         """
-        n = len(self.sizes)
-        who = np.flatnonzero(self.sizes >= least)
-        end = self.sizes[who].copy()
-        at, low, high = end.copy(), np.zeros(len(who), np.int64), np.full(len(who), len(self.text), np.int64)
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        found = [(np.zeros(0, np.int64),) * 3]
+        for lo in range(0, len(sequences), batch):
+            who, a, b = self._stream(sequences[lo : lo + batch], least)
+            found.append((who + lo, a, b))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def _stream(self, sequences: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sizes = np.array([len(x) for x in sequences], np.int64)
+        flat, starts = np.concatenate(sequences), np.cumsum(sizes) - sizes
+        who = np.flatnonzero(sizes >= least)
+        end = sizes[who].copy()
+        at, low, high = end.copy(), np.zeros(len(who), np.int64), np.full(len(who), self.n, np.int64)
+        found = [(np.zeros(0, np.int64),) * 3]
         while len(who):
-            a, b = self.back(self.text[self.starts[who] + at - 1], low, high)
-            more = self.weight[b] - self.weight[a] >= 2
+            a, b = self.back(flat[starts[who] + at - 1], low, high)
+            more = self.often(a, b)
             at = at - more
             low, high = np.where(more, a, low), np.where(more, b, high)
             stop = ~more | (at == 0)
@@ -98,10 +117,8 @@ class FMIndex:
                 end = np.where(stop, after, end)
                 over = stop & ((at == 0) & long | (end < least))
                 at = np.where(stop, end, at)
-                low, high = np.where(stop, 0, low), np.where(stop, len(self.text), high)
+                low, high = np.where(stop, 0, low), np.where(stop, self.n, high)
                 if over.any():
                     keep = ~over
                     who, at, end, low, high = who[keep], at[keep], end[keep], low[keep], high[keep]
-        if not found:
-            return (np.zeros(0, np.int64),) * 3
         return tuple(np.concatenate(x) for x in zip(*found))

@@ -188,13 +188,35 @@ def test_substrings(docs, hot):
     assert got == Counter(brute_windows([(i, t) for i, t in odd_texts()], 35))
 
 
+def test_substrings_of_many_copies(spark):
+    """Spans do not grow with the copies, and copies meet a passage in other texts."""
+    rnd = random.Random(4)
+    text = lambda n: " ".join(f"c{rnd.randrange(10**6)}" for _ in range(n))
+    copy, passage = text(400), text(45)
+    rows = [(None, copy)] * 300 + [(7, copy)] * 20 + [(k, f"{text(20)} {passage} {text(20)}") for k in range(40)] + [(900, text(10) + " " + " ".join(copy.split()[100:150])), (901, text(60)), (902, "short one"), (902, "short one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = Counter(tuple(r) for r in substring_dedup.dedup(df, digest=True).collect())
+    assert got == Counter(brute_windows(rows, 35))
+    spans = substring_dedup.repeated(substring_dedup._keyed(df, "text", []))
+    assert max(len(r["spans"]) for r in spans.collect()) <= 60
+
+
+def test_without_repeats_carries_odd_columns(spark):
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows = [(1, "one " + passage, "x", 5, [1]), (2, passage + " two", None, None, None), (3, None, "y", 1, []), (4, passage, "z", 2, [])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, others string, n_removed int, `odd name` array<int>").withColumns({c: F.lit(c) for c in ("h1", "spans", "whole", "made", "key")})
+    got = substring_dedup.without_repeats(df)
+    assert got.columns == df.columns
+    assert Counter((r["doc_id"], r["text"], r["others"], r["n_removed"], r["key"]) for r in got.collect()) == Counter([(1, "one", "x", 5, "key"), (2, "two", None, None, "key"), (3, None, "y", 1, "key")])
+
+
 def test_fm_index_finds_maximal_repeats():
     rng = np.random.default_rng(5)
     texts = [rng.integers(1, 4, rng.integers(5, 40)) for _ in range(30)]
-    index = fm_index.FMIndex(texts, np.ones(30, np.int64), 64)
+    index = fm_index.FMIndex(texts, np.zeros(30, bool), 64)
     seen = Counter(tuple(t[k : k + 6]) for t in texts for k in range(len(t) - 5))
     want = {(k, p) for k, t in enumerate(texts) for s in range(len(t) - 5) if seen[tuple(t[s : s + 6])] > 1 for p in range(s, s + 6)}
-    assert {(int(w), p) for w, a, b in zip(*index.repeats(6)) for p in range(a, b)} == want
+    assert {(int(w), p) for w, a, b in zip(*index.repeats(texts, 6, 7)) for p in range(a, b)} == want
 
 
 def test_packing(spark, docs):
@@ -239,6 +261,39 @@ def test_fill_keeps_the_mixture():
         assert sum(own.values()) == 2048 and all(abs(own[s] - shares[s] * 2048) <= 130 for s in sizes)
 
 
+def test_packing_fills_windows_to_given_targets(spark):
+    """Of a (nine tenths of all tokens) and b, targets of one half each: windows hold both alike until b runs dry."""
+
+    class Counting:
+        def texts(self, texts):
+            return [np.arange(len(x.split())) for x in texts]
+
+    rows = [(k, "t " * 99, "b" if k % 10 == 0 else "a") for k in range(2000)] + [(5000, "t " * 99, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    pieces = packing.pack(df, Counting, docs_per_bucket=100, targets={"a": 0.5, "b": 0.5}).cache()
+    by: dict = {}
+    for r in pieces.collect():
+        by.setdefault(r["sequence_id"], Counter())[r["source"]] += r["length"]
+    both = [c for i, c in by.items() if i >> 32 < 3]  # 40,000 tokens, all of b are 20,000
+    assert all(abs(c["a"] - c["b"]) <= 0.25 * sum(c.values()) for c in both if sum(c.values()) == 2048)
+    assert sum(c["b"] for i, c in by.items() if i >> 32 > 4) == 0
+    got = {r["source"]: r["tokens"] for r in packing.mixture(pieces).collect()}
+    assert got == {"a": 180_000, "b": 20_000, None: 100}
+    assert max(i >> 32 for i in by) >= 18 and {i >> 32 for i, c in by.items() if c[None]} == {20_000 * 10 // 10_000}
+
+
+def test_packing_spreads_equal_ids_and_keeps_wide_ids(spark):
+    class Wide:
+        def texts(self, texts):
+            return [np.full(len(x), 70_000 + len(x)) for x in texts]
+
+    df = spark.createDataFrame([(None, "x" * 500, "s")] * 400 + [(7, None, "s")] * 400, "doc_id long, text string, source string")
+    rows = packing.pack(df, Wide, docs_per_bucket=50).collect()
+    assert len({r["sequence_id"] >> 32 for r in rows}) >= 10
+    assert sum(r["length"] for r in rows) == 400 * 501 + 400
+    assert {70_500, 1} == {int(x) for r in rows for x in np.frombuffer(r["ids"], "<u4")}
+
+
 def test_word_encoder_matches_the_tokenizer():
     from tokenizers import Tokenizer
 
@@ -275,6 +330,40 @@ def test_simhash(docs):
     assert Counter((r["doc_id"], bytes(r["fp"]), r["component_id"]) for r in simhash.near_duplicates(docs).collect()) == want
 
 
+def test_simhash_links_through_rows_without_an_id(spark, monkeypatch):
+    """Fingerprints 0, 3 and 15: the middle one has no id, and without it the outer two are not linked."""
+    prints = {"a": 0, "b": 3, "c": 15, "d": 0xFFFF << 40}
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *a: docs.select(F.col("doc_id").alias("id"), F.unhex(F.lpad(F.hex("n"), 16, "0")).alias("fp"), F.col("n").alias("key")))
+    rows = [(5, prints["a"]), (None, prints["b"]), (2, prints["c"]), (9, prints["d"]), (None, prints["d"])]
+    got = Counter((r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, n long")).collect())
+    assert got == Counter([(5, 2), (None, None), (2, 2), (9, 9), (None, 9)])
+
+
+@pytest.mark.parametrize("parts", [4, 8, 16])
+def test_simhash_parts_and_blocks_find_the_links_of_brute_force(spark, monkeypatch, parts):
+    monkeypatch.setattr(simhash, "TILE_ROWS", 20)
+    monkeypatch.setattr(simhash, "GROUP_ROWS", 500)
+    rng = np.random.default_rng(3)
+    fps = {0, 2**64 - 1}
+    for center in [int(x) for x in rng.integers(0, 2**63, 12)]:
+        for _ in range(25):
+            x = center
+            for b in rng.integers(0, 64, rng.integers(0, 4)):
+                x ^= 1 << int(b)
+            fps.add(x)
+    fps |= {3 << k for k in range(60)}  # one tile of many rows
+    fps = sorted(fps)
+    df = spark.createDataFrame([(x.to_bytes(8, "big"), k) for k, x in enumerate(fps)], "fp binary, id long")
+    roots = {r["node"]: r["root"] for r in simhash.components(simhash._part_links(df, 2, parts)).collect()}
+    label = list(range(len(fps)))
+    for a in range(len(fps)):
+        for b in range(a):
+            if (fps[a] ^ fps[b]).bit_count() <= 2 and label[a] != label[b]:
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = [new if x == old else x for x in label]
+    assert [roots.get(k, k) for k in range(len(fps))] == label
+
+
 def test_simhash_ranges_find_the_links_of_brute_force(spark):
     rng = np.random.default_rng(8)
     centers = rng.integers(0, 2**63, (40, 2), dtype=np.int64).astype(np.uint64)
