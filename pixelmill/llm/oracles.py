@@ -6,7 +6,7 @@ exact round trips or held-out accuracy.
 
 from __future__ import annotations
 
-from pixelmill.llm.quality_rules import BOILERPLATE, QualityParams
+from pixelmill.llm.quality_rules import BOILERPLATE, MENU_LINE, QualityParams
 from pixelmill.llm.url_model import ALPHABET, UrlParams
 
 GAP, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
@@ -24,7 +24,7 @@ again AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM win
 covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM again WHERE n > 1) GROUP BY 1),
 lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
 judged AS (SELECT doc_id, line, {count("[#*$%&<>~^]")} > {p.max_symbol_share} * length(line) OR {count("[!?]{2,}")} > {p.max_shout_share} * {words}
-  OR {count("[|»›→]")} > {p.max_bar_share} * {words} OR regexp_matches(line, '(?i){phrases}') OR NOT regexp_matches(line, '\\p{{L}}|\\p{{N}}') AS bad
+  OR {count("[|»›→]")} > {p.max_bar_share} * {words} OR length(line) <= {p.max_menu_chars} AND regexp_matches(line, '{MENU_LINE}') OR regexp_matches(line, '(?i){phrases}') OR NOT regexp_matches(line, '\\p{{L}}|\\p{{N}}') AS bad
   FROM lines WHERE regexp_matches(line, '{WORD}')),
 shares AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup, coalesce(sum(length(line)) FILTER (bad), 0) AS lost, sum(length(line)) AS size FROM judged GROUP BY 1),
 stats AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,

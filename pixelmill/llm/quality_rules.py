@@ -8,7 +8,8 @@ No shuffle: every document is judged inside its own row by array functions, so n
 
 Defined results: a null text counts as empty (no words, base_failed); an empty text likewise; blank lines are
 neither judged nor counted; a text without any judged line loses nothing.  Rows with equal ids stay separate
-rows.  Other columns of the input are ignored, whatever their names.
+rows.  Other columns of the input are ignored, whatever their names.  An empty table gives an empty result; very long
+lines and texts are judged whole.
 """
 
 from __future__ import annotations
@@ -38,6 +39,29 @@ BOILERPLATE = (
     "uses cookies",
     "enable javascript",
 )
+#: The items of menus.
+MENU = (
+    "home",
+    "about",
+    "about us",
+    "contact",
+    "contact us",
+    "login",
+    "log in",
+    "sign in",
+    "sign up",
+    "register",
+    "menu",
+    "search",
+    "sitemap",
+    "next",
+    "previous",
+    "back to top",
+    "read more",
+    "skip to content",
+)
+#: A line of up to eight such items and marks between them, nothing else.
+MENU_LINE = r"(?i)^[^\p{L}\p{N}]*(?:(?:" + "|".join(sorted(MENU, key=lambda x: (-len(x), x))) + r")(?:[^\p{L}\p{N}]+|$)){1,8}$"
 
 
 @dataclass(frozen=True)
@@ -49,6 +73,7 @@ class QualityParams:
     max_symbol_share: float = 0.10
     max_shout_share: float = 0.30
     max_bar_share: float = 0.15
+    max_menu_chars: int = 120
     max_removed_share: float = 0.50
 
 
@@ -57,19 +82,20 @@ def _count(text: Column, pattern: str) -> Column:
 
 
 def line_verdict(line: Column, phrases: Column, p: QualityParams) -> Column:
-    """The rule a line fails, or null: ``punctuation``, ``navigation`` or ``boilerplate``.
+    """The first rule a line fails, or null: ``punctuation``, ``navigation`` or ``boilerplate``; every rule is tried.
 
     phrases: whether any of the text's lines has a boilerplate phrase.  Counting stands behind one search for
     any character that a rule counts, so that plain prose is read once.
     """
     words = F.size(F.split(line, GAP))
-    return F.when(
-        line.rlike(r"[#*$%&<>~^|»›→!?]"),
-        F.when(
-            (_count(line, r"[#*$%&<>~^]") > p.max_symbol_share * F.char_length(line)) | (_count(line, r"[!?]{2,}") > p.max_shout_share * words),
-            F.lit("punctuation"),
-        ).when(_count(line, r"[|»›→]") > p.max_bar_share * words, F.lit("navigation")),
-    ).when(phrases & line.rlike("(?i)" + "|".join(BOILERPLATE)), F.lit("boilerplate")).when(~line.rlike(r"\p{L}|\p{N}"), F.lit("punctuation"))
+    marks = line.rlike(r"[#*$%&<>~^|»›→!?]")
+    crowded = (_count(line, r"[#*$%&<>~^]") > p.max_symbol_share * F.char_length(line)) | (_count(line, r"[!?]{2,}") > p.max_shout_share * words)
+    return F.coalesce(
+        F.when(marks, F.when(crowded, F.lit("punctuation")).when(_count(line, r"[|»›→]") > p.max_bar_share * words, F.lit("navigation"))),
+        F.when((F.char_length(line) <= p.max_menu_chars) & line.rlike(MENU_LINE), F.lit("navigation")),
+        F.when(phrases & line.rlike("(?i)" + "|".join(BOILERPLATE)), F.lit("boilerplate")),
+        F.when(~line.rlike(r"\p{L}|\p{N}"), F.lit("punctuation")),
+    )
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: QualityParams = QualityParams()) -> DataFrame:
