@@ -78,6 +78,37 @@ def test_quality_rules_by_line(spark):
     assert not any(got[k]["kept"] for k in (2, 3, 4))
 
 
+def test_quality_spark_and_sql_agree_on_every_rule(spark, tmp_path):
+    """Each rule alone and with marks of the others, so that every planted line tips its document's verdict."""
+    from pixelmill.llm.oracles import ORACLES
+    from pixelmill.llm.queries import QUERIES
+    from tests.conftest import compare
+
+    prose = [" ".join(f"plain{k}x{j}" for j in range(24)) for k in range(40)]
+    bad = [
+        "All rights reserved. Nothing of this site may be copied without the consent that we give in writing to anybody who asks for it", "All rights reserved! See our site for what else we may have reserved in the course of the many years since then",
+        "We use cookies? accept cookies & privacy policy are what this long line is about and nothing else, as you can see quite well here",
+        "!" * 3, "Home | About | Contact | Login | Search | Imprint", "Home - About us - Contact - Login", "# $ % & * < > ~ ^ a", "wow!! yes!! no!!", "... --- ...", "» next → previous", "HOME", "home sweet home", "What? A fine line! It is kept.", "Read more | privacy policy",
+    ]
+    rows = [(k, prose[k] + "\n" + "\n".join([x] * max(1, 260 // len(x)))) for k, x in enumerate(bad)] + [(100 + k, x) for k, x in enumerate(bad)] + [(200, None), (201, ""), (202, "é " * 30_000 + "\n" + "w " * 10)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    import pandas as pd
+
+    pd.DataFrame(rows, columns=["doc_id", "text"]).to_parquet(flat / "documents.parquet")
+    compare(spark, "op1_quality_rules", QUERIES["op1_quality_rules"], ORACLES["op1_quality_rules"], str(flat))
+    got = {r["doc_id"]: r for r in quality_rules.quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    kept = {k for k, x in enumerate(bad) if not got[k]["n_removed_lines"]}
+    assert {bad[k] for k in kept} == {"home sweet home", "What? A fine line! It is kept."}
+
+
+def test_url_model_joins_alike_with_and_without_broadcast(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").withColumn("url", F.when(F.col("page_id") % 9 == 0, F.concat("url", F.repeat(F.lit("/long"), 5000))).otherwise(F.col("url")))
+    rows = lambda p: Counter(tuple(r) for r in url_model.judge(pages, params=p).collect())
+    assert rows(url_model.UrlParams()) == rows(url_model.UrlParams(broadcast_rows=0))
+
+
 def test_url_rules_and_odd_urls(spark):
     rows = [(1, "https://A.Example.com/en/7?x"), (2, "http://example.com/en/8"), (3, None), (4, "no scheme/en/"), (5, "http://xexample.net/de/8"), (6, "http://example.net/de/81"), (7, "x://org/es/#f"), (7, "x://org/es/#f"), (8, "http://net"), (9, "")]
     got = [tuple(r) for r in url_model.judge(spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit(1))).select("page_id", "host", "path", "rule", "verdict").collect()]
@@ -116,6 +147,25 @@ def test_top_k(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("scale", [1.0, 2.0**34, 2.0**80])
+def test_top_k_of_many_blocks_and_large_components(spark, monkeypatch, scale):
+    """Small blocks, so that buckets have parts and queries several blocks; components beyond 2^40 and beyond a long's product."""
+    monkeypatch.setattr(topk_search, "BLOCK", 24)
+    rng = np.random.default_rng(7)
+    base = rng.normal(0, 0.3, (240, 8)) * rng.gamma(2, 1, (240, 1))
+    base[100:160] = base[100]  # many of one length
+    rows = [(k, [float(x) * (scale if k % 3 else 1.0) for x in v]) for k, v in enumerate(base)] + [(k, [float(x) for x in v]) for k, v in zip((1000, 1005), ((3.0e6, 1.0), (2.5e6, 1.0)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk_search.top_k(df, df.where("vec_id % 5 = 0"), k=6).collect()}
+    v = {i: [int(np.floor(64 * c)) for c in x] for i, x in rows}
+    top = (1 << 63) - 1
+    want = {}
+    for q in (i for i in v if i % 5 == 0):
+        score = {c: max(-top - 1, min(top, sum(x * y for x, y in zip(v[q], v[c])))) for c in v if c != q}
+        want.update({(q, k): (c, score[c]) for k, c in enumerate(sorted(score, key=lambda c: (-score[c], c))[:6], 1)})
+    assert got == want
+
+
 def test_search_bucket_prunes_by_coordinate_exactly():
     import pandas as pd
 
