@@ -44,6 +44,11 @@ class KernelOperator:
 class BatchOperator:
     name = "batch"
 
+    def prepare(self, state: DataFrame) -> DataFrame | None:
+        """The rows with columns of what the operator needs of each image, made where the image is; ``decide`` then
+        gets the active rows without images.  None: ``process_batch`` gets the active images instead."""
+        return None
+
     def process_batch(self, active: DataFrame) -> DataFrame:
         """(sample_id, decision, reason, metrics) of some of the active images; the others pass."""
         raise NotImplementedError

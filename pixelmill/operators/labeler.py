@@ -23,12 +23,17 @@ SYSTEM = "You tag pictures of people. Answer with one valid JSON object and noth
 REQUEST = "Give the person attributes of this picture as one JSON object with the fields: " + ", ".join(FIELDS) + "."
 
 
+def fit_pixels(height: int, width: int, max_pixels: int) -> tuple[int, int]:
+    """Size scaled so that there are at most max_pixels (0: no limit), each side cut to whole pixels, one at least."""
+    if max_pixels <= 0 or height * width <= max_pixels:
+        return height, width
+    scale = (max_pixels / (height * width)) ** 0.5
+    return max(1, int(height * scale)), max(1, int(width * scale))
+
+
 def shrink_pixels(image: np.ndarray, max_pixels: int) -> np.ndarray:
-    h, w = image.shape[:2]
-    if max_pixels <= 0 or h * w <= max_pixels:
-        return image
-    scale = (max_pixels / (h * w)) ** 0.5
-    return kernels.resample(image, max(1, int(h * scale)), max(1, int(w * scale)))
+    size = fit_pixels(*image.shape[:2], max_pixels)
+    return image if size == image.shape[:2] else kernels.resample(image, *size)
 
 
 def png(image: np.ndarray) -> bytes:

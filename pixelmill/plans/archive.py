@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import errno
+import hashlib
 import os
 import shutil
 import uuid
@@ -13,7 +15,10 @@ from pyspark.sql import functions as F
 from pixelmill.functions.paths import order_key
 from pixelmill.schema import ERROR, PASS, PENDING, REJECT
 
-CONFLICT = "archive_copy_failed: target exists"
+
+def taken(path: Column) -> Column:
+    """The error of a target that exists."""
+    return F.concat(F.lit("archive_copy_failed: FileExistsError('Archive path already exists: "), path, F.lit("')"))
 
 
 def resolve_conflicts(state: DataFrame, path: Column, overwrite: bool) -> DataFrame:
@@ -33,7 +38,7 @@ def resolve_conflicts(state: DataFrame, path: Column, overwrite: bool) -> DataFr
 
 def close(state: DataFrame, error: Column | None = None) -> DataFrame:
     """PENDING becomes PASS, or an archive ERROR where there is a conflict or the copy failed."""
-    error = F.coalesce(error if error is not None else F.lit(None).cast("string"), F.when(F.col("conflict"), F.lit(CONFLICT)))
+    error = F.coalesce(error if error is not None else F.lit(None).cast("string"), F.when(F.col("conflict"), taken(F.col("archive_path"))))
     pending = F.col("status") == PENDING
     return state.withColumn("_e", F.when(pending, error)).withColumns({
         "rejected_by": F.when(F.col("_e").isNotNull(), F.lit("archive")).otherwise(F.col("rejected_by")),
@@ -43,29 +48,51 @@ def close(state: DataFrame, error: Column | None = None) -> DataFrame:
     }).drop("_e", "conflict", "copies")
 
 
-def copy_files(chosen: DataFrame, overwrite: bool) -> DataFrame:
+def _place(part: str, target: str, overwrite: bool, claims: str) -> None:
+    """Moves a finished copy to its target, which must not exist unless it may be overwritten.
+
+    A claim names the file (by its inode) before it is moved, so a task that runs again knows its own work from
+    anybody else's, of whatever size and time.
+    """
+    if overwrite:
+        os.replace(part, target)
+        return
+    claim = os.path.join(claims, hashlib.sha256(target.encode()).hexdigest())
+    with open(claim, "a") as out:
+        out.write(f"{os.stat(part).st_ino}\n")
+    try:
+        os.link(part, target)
+    except FileExistsError:
+        with open(claim) as lines:
+            if str(os.stat(target).st_ino) not in lines.read().split():
+                raise FileExistsError(f"Archive path already exists: {target}") from None
+    except OSError as e:
+        if e.errno not in (errno.EPERM, errno.ENOTSUP, errno.EMLINK) or os.path.exists(target):
+            raise
+        os.replace(part, target)  # a file system without links
+        return
+    os.unlink(part)
+
+
+def copy_files(chosen: DataFrame, overwrite: bool, claims: str) -> DataFrame:
     """Copies (sample_id, source_path, archive_path); gives (sample_id, copy_error).
 
-    A copy goes to a temporary name and is renamed, so a task that runs twice leaves one whole file; a target
-    of the same size and time as the source counts as that task's own work.
+    claims: a folder of this run that all tasks share.  A target that exists is an error unless ``overwrite``.
     """
 
     def run(batches):
         for b in batches:
             out = []
             for sample, source, target in zip(b["sample_id"], b["source_path"], b["archive_path"]):
-                error = None
+                error, part = None, f"{target}.{uuid.uuid4().hex}.part"
                 try:
-                    source = source.removeprefix("file:")
                     os.makedirs(os.path.dirname(target), exist_ok=True)
-                    mine = os.path.exists(target) and os.stat(target)[6:9:2] == os.stat(source)[6:9:2]
-                    if os.path.exists(target) and not overwrite and not mine:
-                        raise FileExistsError(target)
-                    part = f"{target}.{uuid.uuid4().hex}.part"
-                    shutil.copy2(source, part)
-                    os.replace(part, target)
+                    shutil.copy2(source.removeprefix("file:"), part)
+                    _place(part, target, overwrite, claims)
                 except Exception as e:
                     error = f"archive_copy_failed: {e!r}"
+                    if os.path.exists(part):
+                        os.unlink(part)
                 out.append((sample, error))
             yield pd.DataFrame(out, columns=["sample_id", "copy_error"])
 

@@ -3,7 +3,7 @@
 An operator sees only rows that are still pending; REJECT and ERROR both end a row's way.  Column operators are
 ``when`` expressions.  Neighbouring kernel operators share one Arrow pass that opens each image once and stops at the
 first that ends it; rows that are not pending are passed by unopened.  A batch operator is a barrier: its decisions are
-joined back by id, and images it does not mention pass.
+joined back by id, and images it does not mention pass; image bytes stay out of that join.
 """
 
 from __future__ import annotations
@@ -19,10 +19,13 @@ from pyspark.sql import types as T
 
 from pixelmill.operators.base import BatchOperator, ColumnOperator, KernelOperator
 from pixelmill.schema import ERROR, PASS, PENDING, REJECT, TRACE, TRACE_ENTRY, failed
+from pixelmill.session import cut
 from pixelmill.sources.codec import open_row
 
 #: Rows carry whole images, so Arrow batches are kept small by the session setting named here.
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: What of a row is the image itself.
+BYTES = ("content", "pixels", "pixel_height", "pixel_width")
 IMAGE_COLUMNS = ("sample_id", "source_path", "relative_path", "length", "content", "pixels", "pixel_height", "pixel_width", "faces")
 
 
@@ -105,26 +108,47 @@ def _kernel_stage(state: DataFrame, ops: list[KernelOperator]) -> DataFrame:
     }).drop("_k")
 
 
-def _batch_stage(state: DataFrame, op: BatchOperator) -> DataFrame:
-    found = op.process_batch(state.where(F.col("status") == PENDING))
+def without_bytes(state: DataFrame) -> DataFrame:
+    return state.drop(*BYTES)
+
+
+def _batch_stage(state: DataFrame, op: BatchOperator, images: DataFrame, again: bool) -> DataFrame:
+    """What came before runs once: the state is kept without the images, with what the operator made of each.
+
+    again: whether later operators open images; then their bytes are joined to the survivors anew.
+    """
+    names = [c for c in BYTES if c in images.columns]
+    attach = lambda rows: rows.join(images.select("sample_id", *names), "sample_id") if names else rows
+    prepared = op.prepare(state)
+    if prepared is not None:
+        slim = cut(without_bytes(prepared))
+        found = op.decide(slim.where(F.col("status") == PENDING))
+        slim = slim.select(*without_bytes(state).columns)
+    else:
+        slim = cut(without_bytes(state))
+        found = op.process_batch(attach(slim.where(F.col("status") == PENDING)))
     found = found.select(F.col("sample_id").alias("_id"), F.struct("decision", "reason", "metrics").alias("_found"))
     default = F.struct(F.lit(PASS).alias("decision"), F.lit(None).cast("string").alias("reason"), F.lit("{}").alias("metrics"))
-    joined = state.join(found, state["sample_id"] == found["_id"], "left").drop("_id")
-    return _record(joined.withColumn("_r", F.when(F.col("status") == PENDING, F.coalesce("_found", default))).drop("_found"), op.name)
+    joined = slim.join(found, slim["sample_id"] == found["_id"], "left").drop("_id")
+    out = _record(joined.withColumn("_r", F.when(F.col("status") == PENDING, F.coalesce("_found", default))).drop("_found"), op.name)
+    return attach(cut(out)) if again else out
 
 
 def apply_chain(images: DataFrame, operators: list) -> DataFrame:
     """The state of every image after all operators; survivors are still PENDING."""
-    state = start(images)
+    state, done = start(images), 0
     for kind, group in itertools.groupby(operators, key=lambda op: isinstance(op, KernelOperator)):
+        group = list(group)
+        done += len(group)
         if kind:
-            state = _kernel_stage(state, list(group))
+            state = _kernel_stage(state, group)
             continue
-        for op in group:
+        for k, op in enumerate(group, 1):
             if isinstance(op, ColumnOperator):
                 state = _column_stage(state, op)
             elif isinstance(op, BatchOperator):
-                state = _batch_stage(state, op)
+                later = [*group[k:], *operators[done:]]
+                state = _batch_stage(state, op, images, any(not isinstance(x, ColumnOperator) for x in later))
             else:
                 raise TypeError(f"not a filter operator: {op!r}")
     return state

@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 import json
+import shutil
 import time
-from collections.abc import Iterator
+import uuid
 from datetime import datetime
 from pathlib import Path
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pixelmill.config import PipelineConfig
 from pixelmill.context import RunContext, new_run_id
-from pixelmill.functions.paths import order_key
-from pixelmill.operators.base import LabelOperator
+from pixelmill.functions.paths import base_name, order_key, stem
+from pixelmill.operators.base import ColumnOperator, LabelOperator
 from pixelmill.plans import archive, chain
 from pixelmill.registry import Registry, default_registry
 from pixelmill.schema import LABEL
@@ -55,19 +56,28 @@ class PipelineRunner:
     def run_filter(self) -> dict[str, Any]:
         begun = self._begin()
         source, out = self.config.input, self.config.output
-        found = images.scan(self.spark, source.input_dir, source.recursive, source.image_exts)
         operators = [self.registry.create(o.name, o.params) for o in self.config.filter.enabled_operators()]
-        state = chain.apply_chain(found, operators).drop("content")
+        found = self._scan(source.input_dir, source.recursive)
+        if any(not isinstance(op, ColumnOperator) for op in operators) and not images.decodes_all():
+            found = images.with_pixels(found, self.spark, source.input_dir)
+        state = chain.without_bytes(chain.apply_chain(found, operators))
         state = cut(archive.resolve_conflicts(state, self.context.archive_path(F.col("relative_path")), out.overwrite))
-        copied = archive.copy_files(state.where("copies").select("sample_id", "source_path", "archive_path"), out.overwrite)
+        claims = self.context.logs / f"claims-{uuid.uuid4().hex}"
+        claims.mkdir(parents=True)
+        copied = archive.copy_files(state.where("copies").select("sample_id", "source_path", "archive_path"), out.overwrite, str(claims))
         copied = cut(copied.withColumnRenamed("sample_id", "_id"))
+        shutil.rmtree(claims, ignore_errors=True)
         closed = cut(archive.close(state.join(copied, state["sample_id"] == copied["_id"], "left"), F.col("copy_error")).drop("_id", "copy_error"))
-        rows = archive.manifest(closed).orderBy(order_key(F.col("sample_id"))).toLocalIterator()
-        jsonl.write_lines(self.context.manifest, ({**(d := r.asDict(recursive=True)), "operator_trace": [{**t, "metrics": json.loads(t["metrics"])} for t in d["operator_trace"]]} for r in rows))
+        jsonl.write_rows(archive.manifest(closed), order_key(F.col("sample_id")), manifest_line, self.context.manifest)
         totals = archive.counts(closed).first().asDict()
         totals["reject_by_operator"] = {r["operator"]: r["n"] for r in archive.reject_by_operator(closed).collect()}
         return self._finish(begun, "filter", totals, self.context.summary)
 
+    def _scan(self, root: str, recursive: bool) -> DataFrame:
+        """Listed by the driver and read by tasks; a root with a scheme goes through Spark's own reader."""
+        read = images.scan_remote if "://" in root else images.scan
+        return read(self.spark, root, recursive, self.config.input.image_exts)
+
     def _label_root(self) -> str:
         given = self.config.label.input_dir
         return f"{self.config.output.pass_archive_dir}/{self.run_id}" if given == "auto" else given
@@ -80,20 +90,19 @@ class PipelineRunner:
         operator = self.registry.create(label.operator.name, label.operator.params)
         if not isinstance(operator, LabelOperator):
             raise TypeError(f"Configured label operator is not a LabelOperator: {label.operator.name}")
-        found = images.scan(self.spark, self._label_root(), True, self.config.input.image_exts)
+        found = self._scan(self._label_root(), True)
+        if not images.decodes_all():
+            found = images.with_pixels(found, self.spark, self._label_root())
         labels = cut(label_images(found, operator))
-        folder = Path(label.annotation_dir) if self.honor and label.annotation_dir != "auto" else self.context.annotations
+        folder = label.annotation_dir if self.honor and label.annotation_dir != "auto" else str(self.context.annotations)
         lines = Path(label.jsonl_path) if self.honor and label.jsonl_path != "auto" else self.context.labels
+        done, name = labels.where("labels is not null"), operator.name
 
-        def written() -> Iterator[dict[str, Any]]:
-            for r in labels.where("labels is not null").orderBy(order_key(F.col("sample_id"))).toLocalIterator():
-                name = r["source_path"].rsplit("/", 1)[-1]
-                annotation = json.loads(r["labels"])
-                # images of one stem overwrite each other's file; the lines keep them all
-                jsonl.write_document(folder / f"{Path(name).stem}.json", {"meta": {"operator": operator.name, "input_image": name}, "annotation": annotation})
-                yield annotation
+        def document(row: dict[str, Any]) -> tuple[str, Any]:
+            return f"{folder}/{row['stem']}.json", {"meta": {"operator": name, "input_image": row["file"]}, "annotation": json.loads(row["labels"])}
 
-        n = jsonl.write_lines(lines, written())
+        jsonl.write_documents(last_of_stem(done).select("stem", "file", "labels"), document)
+        n = jsonl.write_rows(done.select("sample_id", "labels"), order_key(F.col("sample_id")), lambda row: row["labels"], lines)
         total = labels.count()
         return self._finish(begun, "label", {"input_total": total, "labeled": n, "failed": total - n}, self.context.label_summary)
 
@@ -101,6 +110,20 @@ class PipelineRunner:
         return {"filter": self.run_filter(), "label": self.run_label()}
 
 
+def manifest_line(row: dict[str, Any]) -> str:
+    trace = [{**t, "metrics": json.loads(t["metrics"])} for t in row["operator_trace"]]
+    return json.dumps({**row, "operator_trace": trace}, ensure_ascii=False)
+
+
+def last_of_stem(labels: DataFrame) -> DataFrame:
+    """Images of one stem share an annotation file: of each the last in sample order, with file, stem and how many (n)."""
+    file = base_name(F.col("source_path"))
+    one = Window.partitionBy("stem")
+    rows = labels.withColumn("file", file).withColumn("stem", stem(F.col("file")))
+    rows = rows.withColumn("n", F.count("*").over(one)).withColumn("_r", F.row_number().over(one.orderBy(order_key(F.col("sample_id")).desc())))
+    return rows.where("_r = 1").drop("_r")
+
+
 def label_images(found: DataFrame, operator: LabelOperator) -> DataFrame:
     """(sample_id, source_path, decision, reason, labels): labels as JSON where the decision is LABEL.
 
@@ -117,7 +140,8 @@ def label_images(found: DataFrame, operator: LabelOperator) -> DataFrame:
         finally:
             operator.teardown()
 
-    return found.select("sample_id", "source_path", "content").mapInPandas(run, "sample_id string, source_path string, decision string, reason string, labels string")
+    keep = [c for c in ("sample_id", "source_path", "content", "pixels", "pixel_height", "pixel_width") if c in found.columns]
+    return found.select(*keep).mapInPandas(run, "sample_id string, source_path string, decision string, reason string, labels string")
 
 
 def label_counts(labels: DataFrame) -> DataFrame:

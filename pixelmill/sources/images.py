@@ -7,6 +7,7 @@ Spark's binaryFile source, which reaches any store Spark does, and skips such na
 
 from __future__ import annotations
 
+import importlib.util
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ from pixelmill.schema import IMAGE
 from pixelmill.sources.codec import HEADER_BYTES, image_header
 
 PER_PARTITION = 256
+#: Formats that Spark's image source decodes and tasks without an imaging library do not.
+JVM_SUFFIXES = (".jpg", ".jpeg", ".tif", ".tiff", ".gif")
 
 
 def wanted(name: str, exts: set[str]) -> bool:
@@ -98,11 +101,22 @@ def with_header(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_h", image_header(F.substring("content", 1, HEADER_BYTES))).select("*", "_h.*").drop("_h")
 
 
+def decodes_all() -> bool:
+    """Whether tasks can decode every format themselves."""
+    return importlib.util.find_spec("PIL") is not None
+
+
 def with_pixels(rows: DataFrame, spark: SparkSession, root: str) -> DataFrame:
-    """Adds pixels as decoded by the JVM (JPEG, TIFF, GIF); rows it cannot decode keep their content alone."""
-    seen = spark.read.format("image").option("dropInvalid", "true").option("recursiveFileLookup", "true").load(root).select("image.*")
-    plain = F.regexp_replace(F.url_decode("origin"), "^file:/*", "/")
-    rgb = seen.select(plain.alias("_path"), "data", "nChannels", F.col("height").alias("pixel_height"), F.col("width").alias("pixel_width"))
+    """Adds pixels as decoded by the JVM, for the formats that tasks cannot decode (JPEG, TIFF, GIF).
+
+    Rows it cannot decode, and all others, keep their content alone; a row with pixels gives its content up, so no image
+    is in the join twice.  Folders without such files are not read again.
+    """
+    kinds = rows.withColumn("_jvm", paths.suffix(F.col("source_path")).isin(*JVM_SUFFIXES))
+    bare = lambda c: F.regexp_replace(c, "^file:/*", "/")
+    pattern = "*.{" + ",".join(x[1:] + "," + x[1:].upper() for x in JVM_SUFFIXES) + "}"
+    seen = spark.read.format("image").option("dropInvalid", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root).select("image.*")
+    rgb = seen.select(bare(F.url_decode("origin")).alias("_path"), "data", "nChannels", F.col("height").alias("pixel_height"), F.col("width").alias("pixel_width"))
 
     def turn(batches):
         import numpy as np
@@ -112,4 +126,7 @@ def with_pixels(rows: DataFrame, spark: SparkSession, root: str) -> DataFrame:
             yield b[["_path", "pixels", "pixel_height", "pixel_width"]]
 
     rgb = rgb.mapInPandas(turn, "_path string, pixels binary, pixel_height int, pixel_width int")
-    return rows.join(rgb, rows["source_path"] == rgb["_path"], "left").drop("_path")
+    joined = kinds.where("_jvm").join(rgb, bare(F.col("source_path")) == rgb["_path"], "left").drop("_path")
+    joined = joined.withColumn("content", F.when(F.col("pixels").isNull(), F.col("content")))
+    plain = kinds.where("not _jvm").withColumns({"pixels": F.lit(None).cast("binary"), "pixel_height": F.lit(None).cast("int"), "pixel_width": F.lit(None).cast("int")})
+    return joined.unionByName(plain).drop("_jvm")

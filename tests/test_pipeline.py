@@ -71,8 +71,12 @@ def test_config_defaults_and_errors(tmp_path):
     assert [o.name for o in c.filter.enabled_operators()] == ["a"] and c.input.recursive and ".webp" in c.input.image_exts
     with pytest.raises(ValueError, match="input.input_dir"):
         parse_config({"output": {}})
-    with pytest.raises(ValueError, match="label"):
-        parse_config({k: v for k, v in config(tmp_path, []).items() if k != "label"})
+    bare = parse_config({k: v for k, v in config(tmp_path, []).items() if k not in ("filter", "label")})
+    assert bare.filter.operators == [] and bare.label.operator.name == "person_attribute_labeler" and bare.label.enabled
+    assert list(bare.snapshot()) == ["input", "output", "filter", "label"] and type(bare.snapshot()["label"]) is dict
+    for key in ("run_root", "pass_archive_dir"):
+        with pytest.raises(ValueError, match=f"output.{key}"):
+            parse_config({**(c := config(tmp_path, [])), "output": {k: v for k, v in c["output"].items() if k != key}})
     with pytest.raises(ValueError, match="layout"):
         parse_config(config(tmp_path, [], pass_archive_layout="odd"))
 
@@ -175,3 +179,100 @@ def test_stream(spark, tmp_path):
     assert {(r["sample_id"], r["status"]) for r in spark.read.parquet(str(tmp_path / "state")).collect()} == {("good.png", "PENDING"), ("sub/wide.png", "REJECT")}
     with pytest.raises(TypeError):
         ingest.start_filter(rows, [Duplicate()], "x", "y")
+
+
+def jpeg(spark, path, image):
+    """Written by the JVM's own encoder."""
+    path.parent.mkdir(parents=True, exist_ok=True)
+    jvm = spark._jvm
+    h, w = image.shape[:2]
+    out = jvm.java.awt.image.BufferedImage(w, h, 1)
+    for y in range(h):
+        for x in range(w):
+            r, g, b = (int(v) for v in image[y, x])
+            out.setRGB(x, y, r << 16 | g << 8 | b)
+    assert jvm.javax.imageio.ImageIO.write(out, "jpg", jvm.java.io.File(str(path)))
+
+
+class Counted(KernelOperator):
+    """Leaves a file for every call."""
+
+    name = "counted"
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def process(self, image, row):
+        import os
+        import uuid
+
+        open(os.path.join(self.folder, uuid.uuid4().hex), "w").close()
+        return passed({"height": image.shape[0]})
+
+
+def test_jpeg_run_with_duplicates_opens_every_image_once(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    grid = np.kron(rng.integers(0, 256, (4, 4, 3)), np.ones((6, 8, 1))).astype(np.uint8)
+    jpeg(spark, tmp_path / "in/a.jpg", grid)
+    jpeg(spark, tmp_path / "in/sub/b c.JPEG", grid)
+    jpeg(spark, tmp_path / "in/gray.jpg", np.full((24, 32, 3), 120, np.uint8))
+    save(tmp_path / "in/c.png", rng.integers(0, 256, (24, 32, 3)).astype(np.uint8))
+    (tmp_path / "calls").mkdir()
+    r = registry()
+    r.register("counted", Counted)
+    steps = [{"name": "counted", "params": {"folder": str(tmp_path / "calls")}}, {"name": "gray_style"}, {"name": "duplicate"}, {"name": "reject_name"}, {"name": "aspect_ratio"}]
+    summary = PipelineRunner(spark, parse_config(config(tmp_path, steps)), r, "r1").run_filter()
+    assert {k: summary[k] for k in ("passed", "rejected", "errors")} == {"passed": 2, "rejected": 2, "errors": 0}
+    assert summary["reject_by_operator"] == {"duplicate": 1, "gray_style": 1}
+    assert len(list((tmp_path / "calls").iterdir())) == 4
+
+
+def test_second_run_and_foreign_targets_are_conflicts(spark, tmp_path):
+    import shutil
+
+    solid(tmp_path / "in/a.png", 10, 10)
+    solid(tmp_path / "in/b.png", 10, 10)
+    c = parse_config(config(tmp_path, []))
+    assert PipelineRunner(spark, c, registry(), "r1").run_filter()["passed"] == 2
+    assert PipelineRunner(spark, c, registry(), "r1").run_filter()["errors"] == 2
+    rows = jsonl.read_lines(tmp_path / "runs/r1/manifest.jsonl")
+    want = f"archive_copy_failed: {FileExistsError(f'Archive path already exists: {tmp_path}/out/r1/a.png')!r}"
+    assert rows[0]["reject_reason"] == want and rows[0]["rejected_by"] == "archive"
+    # a target of the same size and time that somebody else put there
+    (tmp_path / "out/r2").mkdir(parents=True)
+    shutil.copy2(tmp_path / "in/b.png", tmp_path / "out/r2/b.png")
+    found = PipelineRunner(spark, c, registry(), "r2").run_filter()
+    assert (found["passed"], found["errors"]) == (1, 1)
+    assert not [p for p in (tmp_path / "out").rglob("*.part")] and not [p for p in (tmp_path / "runs").rglob("*claims*")]
+
+
+def test_copy_knows_its_own_work_when_it_runs_again(spark, tmp_path):
+    from pixelmill.plans import archive
+
+    solid(tmp_path / "a.png", 10, 10)
+    (tmp_path / "claims").mkdir()
+    rows = spark.createDataFrame([("a.png", str(tmp_path / "a.png"), str(tmp_path / "out/a.png"))], "sample_id string, source_path string, archive_path string")
+    copy = archive.copy_files(rows, False, str(tmp_path / "claims"))
+    assert [r["copy_error"] for r in copy.collect()] == [None]
+    assert [r["copy_error"] for r in copy.collect()] == [None]
+    (tmp_path / "again").mkdir()
+    assert "already exists" in archive.copy_files(rows, False, str(tmp_path / "again")).first()["copy_error"]
+
+
+def test_remote_root_in_a_run(spark, tmp_path):
+    solid(tmp_path / "in/a.png", 10, 10)
+    c = config(tmp_path, [{"name": "aspect_ratio"}])
+    c["input"]["input_dir"] = f"file://{tmp_path}/in"
+    assert PipelineRunner(spark, parse_config(c), registry(), "r1").run_filter()["passed"] == 1
+
+
+def test_lines_and_documents(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(500).select(F.col("id"), F.lit(None).cast("string").alias("none")).repartition(5)
+    n = jsonl.write_rows(rows, F.col("id"), lambda r: json.dumps(r), tmp_path / "x/rows.jsonl")
+    assert n == 500 and jsonl.read_lines(tmp_path / "x/rows.jsonl") == [{"id": k, "none": None} for k in range(500)]
+    assert [p.name for p in (tmp_path / "x").iterdir()] == ["rows.jsonl"]
+    assert jsonl.write_rows(rows.where("false"), F.col("id"), lambda r: "", tmp_path / "x/none.jsonl") == 0 and jsonl.read_lines(tmp_path / "x/none.jsonl") == []
+    assert jsonl.read_lines(tmp_path / "missing") == []
+    assert jsonl.read_table(spark, str(tmp_path / "x/rows.jsonl"), "id long").count() == 500
