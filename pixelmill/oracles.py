@@ -146,7 +146,7 @@ closed AS (SELECT sample_id, '/data/in/' || sample_id AS source_path, sample_id
   CASE WHEN status = 'PENDING' AND n = 1 THEN path END AS archive_path,
   CASE WHEN status = 'PENDING' THEN CASE WHEN n = 1 THEN 'PASS' ELSE 'ERROR' END ELSE status END AS status,
   CASE WHEN status = 'PENDING' AND n > 1 THEN 'archive' ELSE rejected_by END AS rejected_by,
-  CASE WHEN status = 'PENDING' AND n > 1 THEN 'archive_copy_failed: target exists' ELSE reject_reason END AS reject_reason FROM numbered)"""
+  CASE WHEN status = 'PENDING' AND n > 1 THEN 'archive_copy_failed: FileExistsError(''Archive path already exists: ' || path || ''')' ELSE reject_reason END AS reject_reason FROM numbered)"""
 
 ORACLES = {
     "scan_extension_filter": f"WITH {SAMPLES} SELECT sample_id, suffix, length FROM images",
@@ -213,7 +213,8 @@ SELECT sample_id, CASE WHEN width * height > 50000 THEN greatest(1, floor(width
     "downscale_dims": f"""WITH {SAMPLES}, s AS (SELECT *, least(1.0::DOUBLE, 256.0::DOUBLE / greatest(width, height)) AS scale FROM images WHERE width > 0)
 SELECT sample_id, CASE WHEN scale < 1 THEN round_even(width * scale, 0) ELSE width END::BIGINT AS width, CASE WHEN scale < 1 THEN round_even(height * scale, 0) ELSE height END::BIGINT AS height FROM s""",
     "annotation_stem_collisions": f"WITH {SAMPLES} SELECT 'img' || (doc_id % 50) || '.x' AS stem, count(*) AS n, arg_max(sample_id, string_split(sample_id, '/')) AS last_sample FROM images GROUP BY 1",
-    "data_url": "SELECT doc_id, md5('data:image/png;base64,' || base64(encode(text))) AS url_md5 FROM documents",
+    "data_url": """WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), n AS (SELECT *, octet_length(encode(t)) AS n FROM t)
+SELECT doc_id, 'data:image/png;base64' AS head, md5(t || repeat(' ', CASE WHEN n = 0 THEN 3 ELSE ((3 - n % 3) % 3)::INT END)) AS pixels_md5 FROM n""",
     "config_operator_order": "SELECT * FROM (VALUES (0::BIGINT, 'aspect_ratio'), (1::BIGINT, 'framebox'), (2::BIGINT, 'duplicate')) t(position, operator)",
 }
 ORACLES["chain_full"] = f"""WITH RECURSIVE {RASTER}, {ASPECT}, {GRAY_STYLE}, {FRAME},

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +14,12 @@ from pixelmill import views
 from pixelmill.config import IMAGE_EXTS, parse_config
 from pixelmill.context import archive_path
 from pixelmill.functions import kernels, labels, paths
-from pixelmill.operators import duplicate, filters
+from pixelmill.operators import duplicate, filters, labeler
 from pixelmill.operators.base import BatchOperator
 from pixelmill.plans import archive, chain
-from pixelmill.plans.runner import label_counts
+from pixelmill.plans.runner import label_counts, last_of_stem
 from pixelmill.session import ship
+from pixelmill.sources.codec import decode
 
 QUERIES = {}
 
@@ -82,7 +87,7 @@ def operator_error_path(spark, sf_dir):
 
 
 def _pixels(spark, sf_dir, operators, **how):
-    rows = views.with_raster(views.images(spark, sf_dir), spark, sf_dir, **how)
+    rows = views.with_raster(views.images(spark, sf_dir), **how)
     return _last(chain.apply_chain(rows, operators))
 
 
@@ -118,7 +123,7 @@ def _kernel_rows(spark, sf_dir, f, schema: str, scale: int = 1):
         for b in batches:
             yield pd.DataFrame([x for r in b.to_dict("records") for x in f(r["sample_id"], kernels.luma(open_row(r)), int(r["doc_id"]))], columns=[c.split()[0] for c in schema.split(", ")])
 
-    rows = views.with_raster(views.images(spark, sf_dir), spark, sf_dir, scale=scale)
+    rows = views.with_raster(views.images(spark, sf_dir), scale=scale)
     return rows.select("sample_id", "doc_id", "pixels", "pixel_height", "pixel_width").mapInPandas(run, schema)
 
 
@@ -162,7 +167,7 @@ def _sized(rows: DataFrame) -> DataFrame:
 
 @query
 def block_hash(spark, sf_dir):
-    rows = views.with_raster(views.images(spark, sf_dir), spark, sf_dir, planted=False)
+    rows = views.with_raster(views.images(spark, sf_dir), planted=False)
     return HASHER.hashes(rows).select("sample_id", F.lpad(F.bin(F.col("words")[0]), 64, "0").alias("bits"))
 
 
@@ -181,7 +186,7 @@ def hamming_pairs(spark, sf_dir):
 
 
 def _duplicates(spark, sf_dir):
-    rows = _sized(views.with_raster(views.images(spark, sf_dir), spark, sf_dir, planted=False))
+    rows = _sized(views.with_raster(views.images(spark, sf_dir), planted=False))
     return HASHER.process_batch(rows)
 
 
@@ -209,7 +214,7 @@ def chain_two_ops(spark, sf_dir):
 
 @query
 def chain_full(spark, sf_dir):
-    rows = _sized(views.with_raster(views.images(spark, sf_dir), spark, sf_dir))
+    rows = _sized(views.with_raster(views.images(spark, sf_dir)))
     state = chain.apply_chain(rows, [filters.AspectRatio(), filters.GrayStyle(), FRAME, HASHER])
     names = F.array_join(F.transform("trace", lambda t: F.concat(t["name"], F.lit(":"), t["decision"])), ",")
     return state.select("sample_id", "status", "rejected_by", "reject_reason", names.alias("trace"))
@@ -217,7 +222,7 @@ def chain_full(spark, sf_dir):
 
 @query
 def short_circuit_counts(spark, sf_dir):
-    rows = views.with_raster(views.images(spark, sf_dir), spark, sf_dir)
+    rows = views.with_raster(views.images(spark, sf_dir))
     state = chain.apply_chain(rows, [filters.AspectRatio(), filters.GrayStyle(), FRAME])
     t = state.select(F.explode("trace").alias("t")).select("t.*")
     return t.groupBy(F.col("name").alias("operator")).agg(F.count("*").alias("seen"), F.count_if(F.col("decision") == "REJECT").alias("rejected"), F.count_if(F.col("decision") == "ERROR").alias("errors"))
@@ -234,7 +239,7 @@ class EveryThird(BatchOperator):
 
 @query
 def batch_default_pass(spark, sf_dir):
-    state = _last(chain.apply_chain(views.images(spark, sf_dir), [filters.AspectRatio(), EveryThird()]))
+    state = _last(chain.apply_chain(views.images(spark, sf_dir).drop("text"), [filters.AspectRatio(), EveryThird()]))
     return state.select("sample_id", "status", "decision", F.size("trace").cast("long").alias("n_trace"))
 
 
@@ -350,35 +355,50 @@ def vocabulary_audit(spark, sf_dir):
 # ---- sizes, stems, payloads, configuration
 
 
+def _resized(spark, sf_dir, fit):
+    """Sizes as the operators' own function gives them."""
+
+    @F.pandas_udf("height long, width long")
+    def size(h: pd.Series, w: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([fit(int(a), int(b)) for a, b in zip(h, w)], columns=["height", "width"])
+
+    rows = views.images(spark, sf_dir).where("width > 0")
+    return rows.select("sample_id", size("height", "width").alias("s")).select("sample_id", "s.width", "s.height")
+
+
 @query
 def label_resize_dims(spark, sf_dir):
-    w, h, most = F.col("width"), F.col("height"), 50_000
-    scale = F.sqrt(F.lit(float(most)) / (w * h))
-    new = lambda x: F.when(w * h > most, F.greatest(F.lit(1), F.floor(x * scale).cast("int"))).otherwise(x)
-    return views.images(spark, sf_dir).where("width > 0").select("sample_id", new(w).cast("long").alias("width"), new(h).cast("long").alias("height"))
+    return _resized(spark, sf_dir, lambda h, w: labeler.fit_pixels(h, w, 50_000))
 
 
 @query
 def downscale_dims(spark, sf_dir):
-    w, h, most = F.col("width"), F.col("height"), 256
-    scale = F.least(F.lit(1.0), F.lit(float(most)) / F.greatest(w, h))
-    new = lambda x: F.when(scale < 1, F.bround(x * scale, 0)).otherwise(x)
-    return views.images(spark, sf_dir).where("width > 0").select("sample_id", new(w).cast("long").alias("width"), new(h).cast("long").alias("height"))
+    return _resized(spark, sf_dir, lambda h, w: kernels.fit_side(h, w, 256))
 
 
 @query
 def annotation_stem_collisions(spark, sf_dir):
-    name = F.concat(F.lit("img"), (F.col("doc_id") % 50).cast("string"), F.lit(".x"), paths.suffix(F.col("sample_id")))
-    rows = views.images(spark, sf_dir).select("sample_id", paths.stem(name).alias("stem"))
-    last = F.max_by("sample_id", paths.order_key(F.col("sample_id")))
-    return rows.groupBy("stem").agg(F.count("*").alias("n"), last.alias("last_sample"))
+    name = F.concat(F.lit("/data/in/img"), (F.col("doc_id") % 50).cast("string"), F.lit(".x"), paths.suffix(F.col("sample_id")))
+    found = last_of_stem(views.images(spark, sf_dir).select("sample_id", name.alias("source_path")))
+    return found.select("stem", "n", F.col("sample_id").alias("last_sample"))
 
 
 @query
 def data_url(spark, sf_dir):
-    d = views.table(spark, sf_dir, "documents")
-    body = F.regexp_replace(F.base64(F.encode("text", "UTF-8")), r"\s", "")
-    return d.select("doc_id", F.md5(F.concat(F.lit("data:image/png;base64,"), body)).alias("url_md5"))
+    """A text's bytes as one line of pixels, sent as the labeler sends an image and read back by the decoder."""
+
+    @F.pandas_udf("head string, pixels_md5 string")
+    def sent(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for text in texts:
+            data = (text or "").encode()
+            data += b" " * (-len(data) % 3 or 3 * (not data))
+            head, body = labeler.data_url(np.frombuffer(data, np.uint8).reshape(1, -1, 3)).split(",")
+            back = decode(base64.b64decode(body))
+            out.append((head, hashlib.md5(back.tobytes()).hexdigest()))
+        return pd.DataFrame(out, columns=["head", "pixels_md5"])
+
+    return views.table(spark, sf_dir, "documents").select("doc_id", sent("text").alias("s")).select("doc_id", "s.*")
 
 
 CONFIG = {

@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id and the image columns; every fifth document lies at the root."""
+    """doc_id, the image columns and the text; every fifth document lies at the root."""
     d = table(spark, sf_dir, "documents")
     i = F.col("doc_id")
     name = F.concat(F.lit("doc_"), i.cast("string"), F.element_at(F.array(*map(F.lit, SUFFIXES)), (i % 9 + 1).cast("int")))
@@ -32,7 +32,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     width = F.when(i % 97 == 0, F.lit(0)).otherwise(64 + (F.col("n_chars") * 7) % 449).cast("int")
     return d.select(
         "doc_id", rel.alias("sample_id"), F.concat(F.lit("/data/in/"), rel).alias("source_path"), rel.alias("relative_path"),
-        F.octet_length("text").cast("long").alias("length"), width.alias("width"), (64 + (i * 31) % 449).cast("int").alias("height"),
+        F.octet_length("text").cast("long").alias("length"), width.alias("width"), (64 + (i * 31) % 449).cast("int").alias("height"), "text",
     )
 
 
@@ -76,20 +76,18 @@ def boxes(doc_id: int) -> list[tuple[int, int, int, int]]:
     return [[], [(5, 5, 15, 15)], [(2, 2, 44, 44)], [(0, 0, 40, 40), (8, 8, 48, 48)]][doc_id % 4]
 
 
-def with_raster(rows: DataFrame, spark: SparkSession, sf_dir: str, planted: bool = True, scale: int = 1) -> DataFrame:
-    """Adds pixels (and faces) to rows that have a doc_id; scale repeats every pixel."""
+def with_raster(rows: DataFrame, planted: bool = True, scale: int = 1) -> DataFrame:
+    """Pixels (and faces) in the place of the text; scale repeats every pixel."""
 
-    def run(batches):
-        for b in batches:
-            out = []
-            for i, text in zip(b["doc_id"], b["text"]):
-                image = plant(fold_bytes(text), int(i)) if planted else fold_bytes(text)
-                out.append((i, image.repeat(scale, 0).repeat(scale, 1).tobytes(), SIDE * scale, SIDE * scale, [dict(zip(("x1", "y1", "x2", "y2"), x)) for x in boxes(int(i))]))
-            yield pd.DataFrame(out, columns=["_id", "pixels", "pixel_height", "pixel_width", "faces"])
+    @F.pandas_udf("pixels binary, pixel_height int, pixel_width int, faces array<struct<x1:int,y1:int,x2:int,y2:int>>")
+    def raster(ids: pd.Series, texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for i, text in zip(ids, texts):
+            image = plant(fold_bytes(text), int(i)) if planted else fold_bytes(text)
+            out.append((image.repeat(scale, 0).repeat(scale, 1).tobytes(), SIDE * scale, SIDE * scale, [dict(zip(("x1", "y1", "x2", "y2"), x)) for x in boxes(int(i))]))
+        return pd.DataFrame(out, columns=["pixels", "pixel_height", "pixel_width", "faces"])
 
-    schema = "_id long, pixels binary, pixel_height int, pixel_width int, faces array<struct<x1:int,y1:int,x2:int,y2:int>>"
-    pixels = table(spark, sf_dir, "documents").select("doc_id", "text").mapInPandas(run, schema)
-    return rows.join(pixels, rows["doc_id"] == pixels["_id"]).drop("_id")
+    return rows.withColumn("_raster", raster("doc_id", "text")).select(*[c for c in rows.columns if c != "text"], "_raster.*")
 
 
 def _pick(values: list[str], by: Column) -> Column:
