@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; one of our own only where none is set (tests)."""
+    """The shared folder the session names; one of our own only where none is set and all tasks run here (tests)."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="pixelmill-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", where)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
