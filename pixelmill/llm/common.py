@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import uuid
 from collections.abc import Iterator
@@ -15,6 +16,8 @@ from pixelmill.session import checkpoint_dir, cut
 
 __all__ = ["GAP", "checkpoint_dir", "cut", "shuffle_width", "slices", "store", "table"]
 
+_FOLDERS: set[str] = set()
+
 #: Separators of words: space and the controls tab to carriage return.
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -28,10 +31,30 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def store(df: DataFrame) -> DataFrame:
-    """Write as a compressed table in the shared checkpoint folder and read it back: lineage ends here."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/pixelmill-{uuid.uuid4().hex}"
+    """Write as a compressed table in the shared checkpoint folder and read it back: lineage ends here.
+
+    The tables of a session lie in one folder, which ``clear`` removes; it is called when Python ends.
+    """
+    spark = df.sparkSession
+    path = f"{_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _folder(spark: SparkSession) -> str:
+    where = f"{checkpoint_dir(spark).rstrip('/')}/pixelmill-{spark.sparkContext.applicationId}"
+    if where not in _FOLDERS:
+        _FOLDERS.add(where)
+        atexit.register(clear, spark)
+    return where
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes the session's stored tables; results that still read them must have been written."""
+    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def give_back() -> None:

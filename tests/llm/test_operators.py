@@ -549,6 +549,61 @@ def test_language_gradients():
         assert abs((up - down) / 2e-3 - grad[name][at]) < 2e-3
 
 
+def plain_language(m, data):
+    """One byte after the other, window by window, no padding."""
+    H, sums = lang_id.HIDDEN, np.zeros(len(m.langs))
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    for lo in range(0, len(data), lang_id.SPAN):
+        part = data[lo : lo + lang_id.SPAN]
+        states = np.zeros((2, len(part), H))
+        for d in (0, 1):
+            h = np.zeros(H)
+            for t in range(len(part)) if d == 0 else range(len(part) - 1, -1, -1):
+                g, r = m.emb[d][part[t]], h @ m.rec[d]
+                z, s = sig(g[:H] + r[:H]), sig(g[H : 2 * H] + r[H : 2 * H])
+                h = h + z * (np.tanh(g[2 * H :] + s * r[2 * H :]) - h)
+                states[d, t] = h
+        logits = np.concatenate([states[0], states[1]], 1) @ m.out + m.bias
+        p = np.exp(logits - logits.max(1, keepdims=True))
+        sums += (p / p.sum(1, keepdims=True)).sum(0)
+    return sums / len(data)
+
+
+def test_language_equals_a_plain_loop():
+    rng = np.random.default_rng(5)
+    H = lang_id.HIDDEN
+    m = lang_id.Model(("a", "b", "c"), *(rng.normal(0, 0.5, s).astype(np.float32) for s in ((2, 256, 3 * H), (2, H, 3 * H), (2 * H, 3), (3,))))
+    texts = [bytes(rng.integers(1, 256, n).astype(np.uint8)) for n in (1, 2, 5, 48, 127, 128, 129, 200, 256, 300)]
+    got = lang_id._document_probabilities(m, texts)
+    assert np.allclose(got, [plain_language(m, x) for x in texts], atol=1e-4)
+
+
+def test_language_of_few_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = lang_id.fit(docs)
+    held = [(r["text"], r["lang"]) for r in docs.where(lang_id.held_out() & F.col("text").rlike("[a-z]") & F.col("lang").isNotNull()).select("text", "lang").collect()]
+    for n, least in ((2, 0.9), (4, 0.95), (8, 0.97)):
+        found = lang_id.label_texts(model, [" ".join(t.split()[:n]) for t, _ in held])
+        assert np.mean([a == lang for (a, _), (_, lang) in zip(found, held)]) >= least, n
+
+
+def test_samples_keep_their_bounds(spark):
+    """The bounds are of rows, however many documents share an id."""
+    rows = [(k % 3, f"text number {k} of a language", "ab"[k % 2]) for k in range(400)] + [(None, "text", "a"), (5, "  12 ", "a"), (6, None, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = lang_id.sampled(docs, "doc_id", "text", "lang", F.col("doc_id").isNotNull(), per_lang=30, rows=50).collect()
+    assert Counter(r["lang"] for r in got) == {"a": 25, "b": 25}
+    labels = spark.createDataFrame([(k, k % 2, 1 - k % 2) for k in range(3)], "doc_id long, quality int, toxic int")
+    made = []
+    real = toxicity.train
+    toxicity.train = lambda sets, dense, labels, folds: made.append(len(sets)) or real(sets, dense, labels, folds)
+    try:
+        toxicity.fit(docs, labels, rows=2)
+    finally:
+        toxicity.train = real
+    assert made == [2]
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = lang_id.fit(docs)
@@ -620,6 +675,46 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == {i for i, _ in left}
 
 
+def test_pipeline_stages_with_odd_rows(spark):
+    """Null and equal ids, repeated rows, null, empty and very long texts, clashing columns, and no rows at all."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    real = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").limit(60)
+    odd = [(None, "no id", None, None, 5), (None, "no id", None, None, 5), (7, "one id, this text", None, "s", None), (7, "one id, other text", "en", None, 0), (8, "twice the same", "en", "s", 1), (8, "twice the same", "en", "s", 1), (10**9, None, None, None, None), (10**9 + 1, "", "", "", 0), (10**9 + 2, "long words " * 60_000, "en", "s", 1)]
+    clash = ["n_words", "n_removed", "kept_text", "others", "made", "doc", "id", "hash", "node", "fp", "rank", "key", "p_toxic", "_p_toxic", "lang_pred", "task", "before", "bucket", "place", "share", "name", "ids", "spans"]
+    docs = real.unionByName(spark.createDataFrame(odd, real.schema)).withColumns({c: F.lit("clash") for c in clash})
+    docs = corpus_pipeline.store(docs)
+    rows = lambda df: Counter(tuple(r) for r in df.select("doc_id", "text", "source").collect())
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.store(stage(spark, docs, sf))
+        assert out.columns == docs.columns, name
+        assert out.count() <= docs.count() and out.where("ids <> 'clash'").isEmpty(), name
+        if name != "repeated_passages":
+            assert not rows(out) - rows(docs), name
+        assert stage(spark, docs.limit(0), sf).count() == 0, name
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
+    assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), sf).count() == 0
+
+
+def test_recall_of_candidates_at_the_least_similarity(spark):
+    """Pairs of similarity 0.8 to 0.83 are candidates, whatever bands of sizes and tiles they fall in."""
+    rnd = random.Random(21)
+    rows, pairs = [], []
+    while len(pairs) < 150:
+        w = [f"q{rnd.randrange(10**6)}" for _ in range(rnd.choice([40, 90, 200]))]
+        other = list(w)
+        for at in rnd.sample(range(len(w)), max(1, len(w) // 45)):
+            other[at] = f"q{rnd.randrange(10**6)}"
+        a, b = ({tuple(x[k : k + 5]) for k in range(len(x) - 4)} for x in (w, other))
+        if 0.8 <= len(a & b) / len(a | b) <= 0.83:
+            pairs.append((len(rows), len(rows) + 1))
+            rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(other))]
+    kept = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {a for a, _ in pairs}
+
+
 def test_repeated_passages_keep_rows_without_an_own_id(spark):
     import corpus_pipeline
 
