@@ -193,7 +193,9 @@ def repeated(keyed: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFram
     every = store(find_runs(keyed, window))
     # most minimizers occur once: their runs go before anything else is made of them
     often = store(every.groupBy("key").agg(F.count("*").alias("total")).where("total > 1").select("key"))
-    runs = store(every.join(often, "key", "left_semi").distinct())
+    # one row a place; grouped without the minimizer, so that the join before may split a hot one
+    place = every.join(often, "key", "left_semi").groupBy("h1", "h2", "start")
+    runs = store(place.agg(*[F.first(c).alias(c) for c in ("n", "key", "seg")]))
     segs = store(runs.groupBy("key", "seg").agg(F.count("*").alias("weight"), F.min(F.struct("h1", "h2", "start", "n")).alias("at")).select("key", "seg", "weight", "at.*"))
     many = store(segs.groupBy("key").agg(F.count("*").alias("kinds")).where(F.col("kinds") > hot).select("key", F.lit(True).alias("hot")))
     is_hot = not many.isEmpty()
@@ -204,6 +206,8 @@ def repeated(keyed: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFram
     shards = max(1, -(-size // SHARD_WORDS), min(4 * width, size // 20_000))
 
     units = _segments(keyed, wanted, window)
+    if is_hot:  # read twice below
+        units = store(units)
     found = _search(units.where(~F.col("hot")).select("key", "seg", "weight", "words"), window, shards)
     if is_hot:
         cut = units.where("hot").select("key", "seg", "off", "weight", "words", F.xxhash64("words").alias("w1"), F.xxhash64(F.lit(7), "words").alias("w2"))
