@@ -17,7 +17,8 @@ Target: each source's share of all tokens (or the shares given; sources without
 Scale: ids are checkpointed once (2 bytes each where they fit), so texts are tokenised once, and shuffled once by
 bucket.  Buckets are bounded by tokens (and one document), whatever the ids and sources: a source that holds a third of
 all rows is spread over all buckets, as are rows of equal or no id.  Queue places come from running totals inside a
-task and sums over (task, source), which Spark aggregates; token ids never reach the driver.
+task and sums over (task, source), which Spark aggregates and which are broadcast while they measure
+``BROADCAST_BYTES`` at most; token ids never reach the driver.
 
 Defined results: a null text counts as empty and yields the end token alone; a null source is a source; rows
 with equal ids are documents of their own; an empty table gives no pieces.  Other columns are ignored, whatever their
@@ -43,6 +44,8 @@ from pixelmill.llm.pieces import PieceMemo
 WINDOW = 2048
 #: Most tokens of a bucket, but for its last document's.
 BUCKET_TOKENS = 4_000_000
+#: Bytes of the table of queue places, one row for each task and source, up to which it is broadcast.
+BROADCAST_BYTES = 32 << 20
 #: Distinct words whose ids a worker remembers; it starts afresh beyond.
 MEMORY = 500_000
 
@@ -211,6 +214,11 @@ def _due(place: Column, totals: dict | None, targets: dict | None) -> Column:
     return out
 
 
+def _bytes(small: DataFrame, name: str) -> int:
+    """About the bytes of a table of one string and a few numbers a row."""
+    return small.agg(F.sum(F.coalesce(F.octet_length(name), F.lit(0)) + 64)).first()[0] or 0
+
+
 def pack(
     docs: DataFrame,
     encoder: Callable[[], object],
@@ -222,11 +230,13 @@ def pack(
     least: int = 128,
     docs_per_bucket: int = 4000,
     targets: dict[str | None, float] | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One row per piece: id, start and length in its document, crc32 of its ids, sequence and offset there, source, ids.
 
     docs_per_bucket: a bucket holds the tokens of so many average documents, ``BUCKET_TOKENS`` at most.
     targets: wanted shares by source; without them each source's share of all tokens.
+    broadcast_bytes: the table of queue places is broadcast up to this measured size, joined by shuffles beyond.
     """
     tokens = cut(tokenise(docs, encoder, id_col, text_col, source_col, end))
     spans = tokens.groupBy("task", "source").agg(F.sum("n").alias("own"), F.count("*").alias("docs"))
@@ -244,7 +254,9 @@ def pack(
     to_here = Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     first = spans.select(F.col("task").alias("at"), F.col("source").alias("name"), F.coalesce(F.sum("own").over(to_here), F.lit(0)).alias("first"))
     share = totals.select(F.col("source").alias("s"), (F.col("all") / F.lit(size)).alias("share"))
-    queues = first.join(share, F.col("name").eqNullSafe(F.col("s"))).drop("s")
+    queues = cut(first.join(share, F.col("name").eqNullSafe(F.col("s"))).drop("s"))
+    if _bytes(queues, "name") <= broadcast_bytes:  # beyond, Spark chooses and the ids may be shuffled twice
+        queues = F.broadcast(queues)
     placed = tokens.join(queues, (F.col("task") == F.col("at")) & F.col("source").eqNullSafe(F.col("name"))).withColumn("place", F.col("first") + F.col("before"))
     bucket = F.floor(_due(F.col("place"), known, targets) / F.lit(bucket_tokens)).cast("long").alias("bucket")
 

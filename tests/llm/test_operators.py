@@ -332,6 +332,14 @@ def test_packing_fills_windows_to_given_targets(spark):
     assert max(i >> 32 for i in by) >= 18 and {i >> 32 for i, c in by.items() if c[None]} == {20_000 * 10 // 10_000}
 
 
+def test_packing_is_the_same_without_a_broadcast(spark, docs):
+    df = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "a").when(F.col("doc_id") % 7 == 0, F.lit(None)).otherwise("b"))
+    make = lambda n: packing.pack(df, lambda: packing.WordEncoder(WORDS), docs_per_bucket=20, broadcast_bytes=n).drop("ids")
+    near, far = make(1 << 20), make(-1)
+    assert near.count() == far.count() > 0
+    assert near.exceptAll(far).count() == 0
+
+
 def test_packing_spreads_equal_ids_and_keeps_wide_ids(spark):
     class Wide:
         def texts(self, texts):
