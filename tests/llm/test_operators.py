@@ -219,6 +219,26 @@ def test_chat_round_trip(spark):
     assert {c: [tuple(t) for t in r["turns"]] for c, r in got.items()} == by
     merged = {r["conv_id"]: r["n_merged"] for r in f.collect()}
     assert merged == {1: 2, 2: 2, 3: 1, None: 1}
+    for r in f.collect():  # the runs lead through the whole text, and the mask lies on the assistant's texts alone
+        at, learned = 0, []
+        for run in r["loss_runs"]:
+            at += run["lead"]
+            learned += [r["formatted"][at : at + run["size"]]] if run["loss"] else []
+            at += run["size"]
+        assert r["formatted"][at:] == "<|im_end|>\n"
+        assert learned == [x.replace("\\", "\\\\").replace("<", "\\l") for _, x, own in by[r["conv_id"]] if own]
+
+
+def test_chat_mask_is_read_from_the_runs_and_must_fit(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "ab"), (2, 0, "assistant", "long " * 60_000), (2, 1, "user", "\U0001f600<" * 20_000)]
+    f = chat_format.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    digests = {r["conv_id"]: (r["loss_chars"], r["n_turns"]) for r in chat_format.digest(chat_format.read_back(f)).collect()}
+    assert digests == {1: (2, 2), 2: (300_000, 2)}
+    turned = f.withColumn("loss_runs", F.transform("loss_runs", lambda x: x.withField("loss", ~x["loss"])))
+    assert {r["conv_id"]: r["loss_chars"] for r in chat_format.digest(chat_format.read_back(turned)).collect()} == {1: 1, 2: 40_000}
+    cut_off = f.withColumn("loss_runs", F.transform("loss_runs", lambda x: x.withField("size", x["size"] + 1)))
+    with pytest.raises(Exception, match="does not fit"):
+        chat_format.read_back(cut_off).collect()
 
 
 def brute_windows(rows, size):
