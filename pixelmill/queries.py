@@ -7,6 +7,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -175,14 +176,15 @@ def block_hash(spark, sf_dir):
 def hamming_pairs(spark, sf_dir):
     def run(batches):
         for b in batches:
-            yield pd.DataFrame({"vec_id": b["vec_id"], "words": [duplicate.pack_bits(x > pd.Series(x).median()) for x in b["embedding"]]})
-
-    words = views.table(spark, sf_dir, "embeddings").select("vec_id", "embedding").where("embedding is not null").mapInPandas(run, "vec_id long, words array<long>")
-    named = words.groupBy("words").agg(F.min("vec_id").alias("id"))
-    pairs = duplicate.near_pairs(named.select("words"), 16)
-    a, b = named.select(F.col("words").alias("a"), F.col("id").alias("ia")), named.select(F.col("words").alias("b"), F.col("id").alias("ib"))
-    met = pairs.join(a, "a").join(b, "b")
-    return met.select(F.least("ia", "ib").alias("vec_a"), F.greatest("ia", "ib").alias("vec_b"), F.col("distance").cast("long").alias("distance"))
+            vectors = b.column("embedding")
+            n, values = vectors.value_lengths().to_numpy(), vectors.flatten()
+            bits, known = kernels.above_median(n, values.fill_null(0.0).to_numpy(), values.is_valid().to_numpy(zero_copy_only=False))
+            yield pa.record_batch([b.column("vec_id"), pa.array(n, pa.int32()), pa.array(bits, pa.binary()), pa.array(known, pa.binary())], ["vec_id", "n", "words", "known"])
+
+    rows = views.table(spark, sf_dir, "embeddings").where("embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    signs = rows.mapInArrow(run, "vec_id long, n int, words binary, known binary")
+    named = signs.groupBy("n", "words", "known").agg(F.min("vec_id").alias("id"))
+    return duplicate.tiled_pairs(named, 16).select(F.col("a").alias("vec_a"), F.col("b").alias("vec_b"), "distance")
 
 
 def _duplicates(spark, sf_dir):
