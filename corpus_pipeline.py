@@ -18,14 +18,14 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language stay; learned and calibrated from the labelled rows of the corpus itself."""
-    model = lang_id.fit(docs)
+    """Documents in a known language stay; learned and calibrated from all labelled rows of the corpus itself."""
+    model = lang_id.fit_all(docs)
     return lang_id.keep_known(docs, model, lang_id.calibrate(docs, model))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the chain calls toxic go."""
-    return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    """Documents that the chain calls toxic go; learned from all labelled documents."""
+    return toxicity.keep_clean(docs, toxicity.fit_all(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -787,3 +787,59 @@ def test_pipeline_stages_3_to_5_against_brute_force(spark):
     for r in corpus_pipeline.packed(spark, fourth, "").collect():
         got[r["doc_id"]] += r["length"]
     assert got == tokens
+
+
+def test_windows_hold_every_byte():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 5, 6, 7, 11, 47, 48, 185, 186, 187, 1000, 2003):
+        data = bytes(rng.integers(0, 256, n).astype(np.uint8))
+        for phase in range(7):
+            found = lang_id.windows_of(data, phase)
+            assert all(x.shape[1] == size for size, x in found.items())
+            assert n <= sum(x.size for x in found.values()) <= n + 5
+            assert all(bytes(w) in data for x in found.values() for w in x)
+            counts = sum((np.bincount(x.ravel(), minlength=256) for x in found.values()), np.zeros(256, int))
+            assert (counts >= np.bincount(np.frombuffer(data, np.uint8), minlength=256)).all()
+
+
+def test_language_stage_learns_from_all_rows(spark):
+    """A language's second script stands in none of the 300 rows of the lowest hashes, neither of those learned nor of those held out."""
+    import corpus_pipeline
+
+    rnd = random.Random(8)
+    kinds = {"x": ["kala mutu vesi", "talo puro lumi"], "y": ["straat boek zon", "brood weg huis"]}
+    rows = [(k, " ".join(rnd.choices(" ".join(kinds[lang]).split(), k=8)) + f" {k}", lang) for k in range(9000) for lang in ["xy"[k % 2]]]
+    rows += [(10_000 + k, " ".join(rnd.choices("νερό σπίτι χιόνι δρόμος ήλιος".split(), k=8)) + f" {k}", "x") for k in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    draw = F.xxhash64(F.lit(11), "doc_id", "text")
+    docs = docs.where((draw < 0) == (F.col("doc_id") < 10_000)).cache()
+    by = {(r["lang"], r["held"], r["second"]): r["count"] for r in docs.groupBy("lang", lang_id.held_out().alias("held"), (F.col("doc_id") >= 10_000).alias("second")).count().collect()}
+    assert min(by["x", held, False] for held in (True, False)) > lang_id.SAMPLE and min(by["x", held, True] for held in (True, False)) > 50
+    left = corpus_pipeline.language(spark, docs, "").where("doc_id >= 10000").count()
+    assert left >= 0.98 * docs.where("doc_id >= 10000").count()
+    model = lang_id.fit_all(docs)
+    found = lang_id.label_texts(model, [r["text"] for r in docs.where("doc_id >= 10000").collect()])
+    assert np.mean([lang == "x" for lang, _ in found]) > 0.95
+
+
+def test_toxicity_stage_learns_from_all_rows(spark, tmp_path, monkeypatch):
+    """The toxic word stands in none of the 6,000 rows of the lowest hashes; within them the sums give what one fit gives."""
+    import corpus_pipeline
+
+    rnd = random.Random(9)
+    n = 7500
+    order = [r["id"] for r in spark.range(n).orderBy(F.xxhash64(F.lit(17), "id")).collect()]
+    late = set(order[toxicity.SAMPLE :: 4])
+    rows = [(k, " ".join(rnd.choices("an old road runs by the river and a mill".split(), k=12)) + " zorp" * (k in late)) for k in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, int(rnd.random() < (0.9 if k in late else 0.3))) for k in range(n)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(toxicity, "keep_clean", lambda docs, chain: chain)
+    a, b = corpus_pipeline.clean(spark, docs, str(tmp_path)), toxicity.fit(docs, labels, rows=n)
+    assert "zorp" in a.links[1].words
+    p = toxicity.score_texts(a, ["an old road runs by the river zorp", "an old road runs by the river"])[:, 1]
+    assert p[0] > 0.8 and p[1] < 0.4
+    assert a.thresholds == b.thresholds and all(x.words.keys() == y.words.keys() for x, y in zip(a.links, b.links))
+    assert all(np.allclose([*x.words.values(), *x.dense, x.bias], [*(y.words[w] for w in x.words), *y.dense, y.bias], atol=1e-6) for x, y in zip(a.links, b.links))
+    nothing = toxicity.fit_all(docs.limit(0), labels)
+    assert nothing.thresholds == toxicity.fit(docs.limit(0), labels).thresholds and (toxicity.score_texts(nothing, ["zorp"]) < 0.01).all()
